@@ -51,7 +51,8 @@ def with_repo_meta(
     match = name == F.col("_meta_repo")
     if salts > 1:
         side = side.withColumn("_meta_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        df = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts))
+        df = df.withColumn("_salt", salt.cast("int"))
         match = match & (F.col("_salt") == F.col("_meta_salt"))
     absent = F.struct(
         F.lit(UNKNOWN_LANGUAGE).alias("language"),

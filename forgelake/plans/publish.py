@@ -8,7 +8,7 @@ from forgelake.operators.rollups import activity_by_repo_actor
 from forgelake.plans.marts import dim_contributors, dim_repos, fact_commits, fact_prs
 from forgelake.plans.staging import stg_events, stg_pr, stg_push, stg_watch
 from forgelake.settings import Settings
-from forgelake.sinks.warehouse import save_mart
+from forgelake.sinks.warehouse import create_databases, save_mart
 
 
 def staged(stg: DataFrame, settings: Settings) -> DataFrame:
@@ -45,8 +45,7 @@ def publish(
     partitioned by event date, which the trailing-window extracts prune on.
     """
     spark = raw.sparkSession
-    for database in (settings.staging_database, settings.mart_database):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    create_databases(spark, settings, settings.staging_database, settings.mart_database)
     stg = staged(stg_events(raw, tie_break), settings)
     staging_views(stg)
     pairs = save_mart(activity_by_repo_actor(stg), "activity_by_repo_actor", settings)

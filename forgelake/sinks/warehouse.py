@@ -15,10 +15,16 @@ def raw_table_name(settings: Settings) -> str:
     return f"{settings.raw_database}.code_events"
 
 
+def create_databases(spark: SparkSession, settings: Settings, *names: str) -> None:
+    for name in names:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{settings.zone(name)}'")
+
+
 def create_tables(spark: SparkSession, settings: Settings) -> None:
     """Create the layer databases and the raw table unless they exist."""
-    for database in (settings.raw_database, settings.staging_database, settings.mart_database):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    create_databases(
+        spark, settings, settings.raw_database, settings.staging_database, settings.mart_database
+    )
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_TABLE)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {raw_table_name(settings)} ({columns}) USING parquet "

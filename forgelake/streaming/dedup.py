@@ -15,12 +15,14 @@ def dedup_stream(
     row is ever late: an event created days ago still passes. A stream cannot
     aggregate ahead of its shuffle, so with ``salts`` > 1 copies are first removed
     per (id, salt): an id holding much of the stream is spread over that many tasks
-    and reaches the second pass as at most ``salts`` rows. Each pass keeps its own
-    state; ``salts=1`` keeps one, for streams whose ids are known to be spread.
+    and reaches the second pass as at most ``salts`` rows. The salt hashes the task's
+    number with the row, so equal copies spread too and a rerun task salts alike.
+    Each pass keeps its own state; ``salts=1`` keeps one, for streams whose ids are
+    known to be spread.
     """
     arriving = df.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", delay)
     if salts > 1:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts))
         arriving = (
             arriving.withColumn("_salt", salt)
             .dropDuplicatesWithinWatermark([key, "_salt"])
