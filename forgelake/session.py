@@ -16,6 +16,15 @@ ENGINE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# For long-running streams: state on disk instead of the executors' heap. The
+# shuffle partition count must be chosen before the first start; the checkpoint
+# fixes it.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
 
 def session(app: str, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)

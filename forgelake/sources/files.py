@@ -92,14 +92,13 @@ def read_seed_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFra
 
 
 def dates_touched_since(spark: SparkSession, raw_zone: str, since: dt.datetime) -> DataFrame:
-    """Event dates that received files after ``since``, late ones included.
-
-    Prunes by file modification time and reads the partition column only.
-    """
-    stamp = since.strftime("%Y-%m-%dT%H:%M:%S")
+    """Event dates that received files after ``since`` (with a time zone), late ones
+    included. Prunes by file modification time and reads the partition column only."""
+    stamp = since.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
     return (
         spark.read.schema(RAW_ZONE)
         .option("modifiedAfter", stamp)
+        .option("timeZone", "UTC")
         .parquet(raw_zone)
         .select("date")
         .distinct()
