@@ -20,7 +20,7 @@ from catalogue.models import (
 )
 from catalogue.payloads import NOW, WATCHED_SQL, api_events
 from catalogue.records import FALLBACK, RECORDS_SQL, records
-from catalogue.registry import query, written
+from catalogue.registry import finer_tasks, query, written
 from forgelake.functions import int_or_null
 from forgelake.operators.enrich import coerce_types
 from forgelake.operators.quality import MART_CHECKS, RAW_CHECKS, check_table, check_tables
@@ -98,7 +98,8 @@ def seed_csv_scan(spark, sf_dir):
 )
 def raw_date_scan(spark, sf_dir):
     raw_zone = workspace(spark, "rawscan").raw_zone
-    append_raw(records(spark, sf_dir), raw_zone, _fallback())
+    with finer_tasks(spark):
+        append_raw(records(spark, sf_dir), raw_zone, _fallback())
     return read_raw_dates(spark, raw_zone, "2024-01-03", "2024-01-05").drop("topics")
 
 
@@ -160,7 +161,8 @@ def processed_backfill(spark, sf_dir):
     """A range of dates processed twice: the second run replaces the first."""
     lake = workspace(spark, "backfill")
     typed = records(spark, sf_dir).where("event_type IS NOT NULL")
-    append_raw(typed, lake.raw_zone, _fallback())
+    with finer_tasks(spark):
+        append_raw(typed, lake.raw_zone, _fallback())
     for _ in range(2):
         batch.process_dates(spark, lake, FIRST, LAST, _processed_at())
     rows = read_processed_dates(spark, lake.processed_zone, FIRST, LAST)
@@ -396,8 +398,9 @@ def touched_dates(spark, sf_dir):
     """Dates reached by a second, late delivery."""
     raw_zone = workspace(spark, "touched").raw_zone
     rows = records(spark, sf_dir)
-    append_raw(rows.where("language IS DISTINCT FROM 'Rust'"), raw_zone, _fallback())
-    since = dt.datetime.now(dt.timezone.utc)
     late = rows.where("language = 'Rust'").where(f"event_type IN ({WATCHED_SQL})")
-    append_raw(late, raw_zone, _fallback())
+    with finer_tasks(spark):
+        append_raw(rows.where("language IS DISTINCT FROM 'Rust'"), raw_zone, _fallback())
+        since = dt.datetime.now(dt.timezone.utc)
+        append_raw(late, raw_zone, _fallback())
     return dates_touched_since(spark, raw_zone, since)

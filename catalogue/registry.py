@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +50,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label) + "/data"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def finer_tasks(spark: SparkSession) -> Iterator[None]:
+    """Let small writes use all cores. The test tables are spread thinly over thousands
+    of raw-zone partitions, where creating files costs far more than filling them and
+    packing tasks by bytes leaves a single writer."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8k")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -3,14 +3,15 @@ compared with the batch result."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.adapter import RAW_SQL, raw_events
 from catalogue.files import FIRST, LAST, _ROUTED_SQL, _fallback, workspace
 from catalogue.payloads import API_SQL, NOW, WATCHED_SQL, api_events
 from catalogue.records import TRACKED, damaged_messages, records, repo_meta
-from catalogue.registry import query, written
-from forgelake.schemas import RAW_API
+from catalogue.registry import finer_tasks, query, written
+from forgelake.schemas import EVENT, RAW_API
 from forgelake.sources.files import read_raw_dates, stream_api_events, stream_text
 from forgelake.streaming.dedup import dedup_stream
 from forgelake.streaming.ingest import (
@@ -23,6 +24,17 @@ from forgelake.streaming.ingest import (
 )
 
 
+def _drain(stream: DataFrame, path: str, checkpoint: str) -> None:
+    (
+        stream.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
 @query(
     f"WITH {_ROUTED_SQL} SELECT * FROM routed"
     " WHERE event_type IS NOT NULL AND event_type <> 'GollumEvent'"
@@ -30,8 +42,9 @@ from forgelake.streaming.ingest import (
 def stream_ingest(spark, sf_dir):
     """JSON messages, some cut short, to the raw zone."""
     lake = workspace(spark, "stream")
-    damaged_messages(spark, sf_dir).repartition(4).write.text(lake.zone("landing"))
-    events = parse_messages(stream_text(spark, lake.zone("landing"), max_files_per_trigger=2))
+    arriving = records(spark, sf_dir).repartitionByRange(8, "created_at")
+    damaged_messages(arriving).write.text(lake.zone("landing"))
+    events = parse_messages(stream_text(spark, lake.zone("landing"), max_files_per_trigger=4))
     write_raw_zone(
         events, lake.raw_zone, lake.zone("checkpoint"), trigger=None, fallback=_fallback()
     ).awaitTermination()
@@ -47,13 +60,14 @@ def stream_batch_append(spark, sf_dir):
     lake = workspace(spark, "append")
     messages = records(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
     messages.write.text(lake.zone("landing"))
-    write_raw_batches(
-        parsed(stream_text(spark, lake.zone("landing"))),
-        lake.raw_zone,
-        lake.zone("checkpoint"),
-        trigger=None,
-        fallback=_fallback(),
-    ).awaitTermination()
+    with finer_tasks(spark):
+        write_raw_batches(
+            parsed(stream_text(spark, lake.zone("landing"))),
+            lake.raw_zone,
+            lake.zone("checkpoint"),
+            trigger=None,
+            fallback=_fallback(),
+        ).awaitTermination()
     return read_raw_dates(spark, lake.raw_zone, FIRST, LAST).drop("topics")
 
 
@@ -71,14 +85,7 @@ def stream_dedup(spark, sf_dir):
     for delivery in (events.union(events), events):
         delivery.write.mode("append").json(landing)
         unique = dedup_stream(spark.readStream.schema(events.schema).json(landing), salts=4)
-        (
-            unique.writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", lake.zone("checkpoint"))
-            .trigger(availableNow=True)
-            .start()
-            .awaitTermination()
-        )
+        _drain(unique, out, lake.zone("checkpoint"))
     return spark.read.schema(events.schema).parquet(out)
 
 
@@ -103,8 +110,6 @@ def stream_normalise(spark, sf_dir):
         api_events(spark, sf_dir, copy).write.mode("append").json(feed)
         both = union_sources(*[stream_api_events(spark, f) for f in feeds])
         flat = normalised_stream(both, TRACKED, meta, salts=4, now=F.lit(NOW))
-        write_raw_zone(
-            flat, lake.raw_zone, lake.zone("checkpoint"), trigger=None, fallback=_fallback()
-        ).awaitTermination()
-    rows = read_raw_dates(spark, lake.raw_zone, FIRST, LAST).where("event_id <> ''")
-    return rows.drop("topics", "date", "hour", "created_at", "ingested_at")
+        _drain(flat, lake.zone("published"), lake.zone("checkpoint"))
+    rows = spark.read.schema(EVENT).parquet(lake.zone("published"))
+    return rows.where("event_id <> ''").drop("topics", "created_at", "ingested_at")
