@@ -59,9 +59,14 @@ def path_safe(c: Column) -> Column:
 def path_value(path: Column, key: str) -> Column:
     """Value of ``key=`` in a file path: a folder name or the Parquet file's own name."""
     value = F.regexp_extract(path, key + r"=([^/]+?)(?:\.parquet)?(?:/|$)", 1)
-    return F.when(
-        (value != "") & (value != "__HIVE_DEFAULT_PARTITION__"), F.try_url_decode(value)
-    )
+    # The path is a URI, and a partition folder's name is escaped once more in it.
+    once = _percent_decoded(value)
+    plain = F.coalesce(_percent_decoded(once), once)
+    return F.when((value != "") & (value != "__HIVE_DEFAULT_PARTITION__"), plain)
+
+
+def _percent_decoded(c: Column) -> Column:
+    return F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
 def topics_text(topics: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """The first row of each key under ``order``.
 
     Planned as a group limit on both sides of the shuffle: each map task sends at
@@ -20,12 +20,18 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
 
 
 def newest_copy(
-    df: DataFrame, keys: list[str] | None = None, tie_break: list[str] | None = None
+    df: DataFrame,
+    keys: list[str] | None = None,
+    tie_break: list[Column | str] | None = None,
 ) -> DataFrame:
     """The most recently ingested copy of each event; copies without an ingest time
-    come last. Full ties fall to ``tie_break``, or to a hash of the row so that
-    reruns agree."""
-    ties = [F.col(c) for c in tie_break] if tie_break else [F.xxhash64(*df.columns)]
+    come last.
+
+    Full ties fall to ``tie_break``. By default that is a hash of the whole row,
+    which makes reruns agree but reads every column: pass something narrower where
+    few columns are wanted downstream.
+    """
+    ties = tie_break or [F.xxhash64(*df.columns)]
     newest = F.col("ingested_at").try_cast("timestamp").desc_nulls_last()
     return latest_per_key(df, keys or ["event_id"], [newest, *ties])
 

@@ -31,26 +31,28 @@ _COUNTED = {
     "comments": ISSUE_COMMENT,
     "releases": RELEASE,
 }
-_SNAPSHOT = ["language", "stars", "forks", "open_issues", "description", "is_tracked"]
+# What each dimension wants of the newest event.
+REPO_SNAPSHOT = ["language", "stars", "forks", "open_issues", "description", "is_tracked"]
+CONTRIBUTOR_SNAPSHOT = ["language"]
 
 
-def _newest(*columns: str) -> Column:
-    """The columns of the newest row; the event id breaks ties in time."""
-    return F.max(F.struct("created_at", "event_id", *columns))
+def activity_by_repo_actor(stg: DataFrame, snapshot: list[str] | None = None) -> DataFrame:
+    """All additive measures per (repo_name, actor) and, as ``newest``, the
+    ``snapshot`` columns of the newest event; the event id breaks ties in time.
 
-
-def activity_by_repo_actor(stg: DataFrame) -> DataFrame:
-    """All additive measures and the newest snapshot per (repo_name, actor).
-
-    ``stg`` is unique on event_id, so counting rows counts events.
+    ``stg`` is unique on event_id, so counting rows counts events. Without a
+    snapshot only fixed-width measures remain, which aggregate by hash alone.
     """
+    newest = []
+    if snapshot is not None:
+        newest = [F.max(F.struct("created_at", "event_id", *snapshot)).alias("newest")]
     return stg.groupBy("repo_name", "actor").agg(
         F.count(F.lit(1)).alias("events"),
         F.min("created_at").alias("first_at"),
         *[F.count_if(F.col("event_type") == t).alias(n) for n, t in _COUNTED.items()],
         F.sum("commit_count").alias("commits"),
         F.count_if("is_merge").alias("merges"),
-        _newest(*_SNAPSHOT).alias("newest"),
+        *newest,
     )
 
 

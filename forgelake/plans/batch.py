@@ -15,7 +15,13 @@ from forgelake.schemas import PROCESSED_ZONE, RAW_TABLE
 from forgelake.settings import Settings
 from forgelake.sinks.files import overwrite_partitions
 from forgelake.sinks.warehouse import load_rows, raw_table_name
-from forgelake.sources.files import read_api_events, read_processed_dates, read_raw_dates
+from forgelake.sources.files import (
+    dates_touched_since,
+    read_api_events,
+    read_processed_dates,
+    read_raw_dates,
+    read_raw_days,
+)
 
 PROCESSED_PARTITIONS = ["date", "event_type"]
 
@@ -45,13 +51,29 @@ def process_dates(
     processed_at: Column | None = None,
 ) -> dict[str, int]:
     """Raw zone to processed zone; returns the rows read and written."""
-    raw, read = _counted(
-        read_raw_dates(spark, settings.raw_zone, start or yesterday(), end), "raw_rows"
-    )
+    raw = read_raw_dates(spark, settings.raw_zone, start or yesterday(), end)
+    return _process(raw, settings, processed_at)
+
+
+def reprocess_since(
+    spark: SparkSession,
+    settings: Settings,
+    since: dt.datetime,
+    processed_at: Column | None = None,
+) -> dict[str, int]:
+    """Process again every date that got raw files after ``since``, which is how late
+    events reach the processed zone. The dates, a calendar's worth at most, are
+    fetched so that the scan prunes to their partitions."""
+    days = [row.date for row in dates_touched_since(spark, settings.raw_zone, since).collect()]
+    if not days:
+        return {"raw_rows": 0, "processed_rows": 0}
+    return _process(read_raw_days(spark, settings.raw_zone, days), settings, processed_at)
+
+
+def _process(raw: DataFrame, settings: Settings, processed_at: Column | None) -> dict[str, int]:
+    raw, read = _counted(raw, "raw_rows")
     out, written = _counted(processed(raw, processed_at), "processed_rows")
-    overwrite_partitions(
-        out.where(F.col("event_type").isNotNull()), settings.processed_zone, PROCESSED_PARTITIONS
-    )
+    overwrite_partitions(out, settings.processed_zone, PROCESSED_PARTITIONS)
     return {"raw_rows": read.get["rows"], "processed_rows": written.get["rows"]}
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from forgelake.functions import pr_status, repo_owner, surrogate_key
 from forgelake.operators.rollups import (
+    CONTRIBUTOR_SNAPSHOT,
+    REPO_SNAPSHOT,
     activity_by_repo_actor,
     contributor_rollup,
     repo_rollup,
@@ -30,9 +32,10 @@ def fact_prs(stg: DataFrame) -> DataFrame:
 def dim_repos(stg: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """One row per repository: its newest snapshot and its activity.
 
-    Pass ``pairs`` when :func:`activity_by_repo_actor` is already materialised.
+    Pass ``pairs`` when :func:`activity_by_repo_actor` is already materialised with
+    the repository snapshot.
     """
-    repos = repo_rollup(activity_by_repo_actor(stg) if pairs is None else pairs)
+    repos = repo_rollup(activity_by_repo_actor(stg, REPO_SNAPSHOT) if pairs is None else pairs)
     return repos.select(
         surrogate_key("repo_name").alias("repo_key"),
         "repo_name",
@@ -57,7 +60,9 @@ def dim_repos(stg: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
 
 def dim_contributors(stg: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """One row per named actor."""
-    actors = contributor_rollup(activity_by_repo_actor(stg) if pairs is None else pairs)
+    if pairs is None:
+        pairs = activity_by_repo_actor(stg, CONTRIBUTOR_SNAPSHOT)
+    actors = contributor_rollup(pairs)
     return actors.select(
         surrogate_key("actor").alias("contributor_key"),
         "actor",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
-from forgelake.operators.rollups import activity_by_repo_actor
+from forgelake.operators.rollups import REPO_SNAPSHOT, activity_by_repo_actor
 from forgelake.plans.marts import dim_contributors, dim_repos, fact_commits, fact_prs
 from forgelake.plans.staging import stg_events, stg_pr, stg_push, stg_watch
 from forgelake.settings import Settings
@@ -37,7 +37,7 @@ def staging_views(stg: DataFrame) -> dict[str, DataFrame]:
 
 
 def publish(
-    raw: DataFrame, settings: Settings, tie_break: list[str] | None = None
+    raw: DataFrame, settings: Settings, tie_break: list[Column | str] | None = None
 ) -> dict[str, DataFrame]:
     """Staging views and mart tables from the raw rows; returns the marts.
 
@@ -48,7 +48,7 @@ def publish(
     create_databases(spark, settings, settings.staging_database, settings.mart_database)
     stg = staged(stg_events(raw, tie_break), settings)
     staging_views(stg)
-    pairs = save_mart(activity_by_repo_actor(stg), "activity_by_repo_actor", settings)
+    pairs = save_mart(activity_by_repo_actor(stg, REPO_SNAPSHOT), "activity_by_repo_actor", settings)
     return {
         "fact_commits": save_mart(fact_commits(stg), "fact_commits", settings, ["event_date"]),
         "fact_prs": save_mart(fact_prs(stg), "fact_prs", settings, ["event_date"]),

@@ -23,9 +23,19 @@ def _or(column: str, default: str = "") -> Column:
     return F.coalesce(F.col(column), F.lit(default))
 
 
+def _later_load_wins() -> list[Column]:
+    """Among copies ingested at one instant the one loaded last wins, then a hash over
+    columns the dimensions need anyway, so that no wide text is read to settle ties."""
+    return [
+        timestamp_or_null("processed_at").desc_nulls_last(),
+        date_or_null("date_partition").desc_nulls_last(),
+        F.xxhash64("event_type", "actor", "repo_name", "created_at", "stars", "commit_count"),
+    ]
+
+
 def stg_events(
     raw: DataFrame,
-    tie_break: list[str] | None = None,
+    tie_break: list[Column | str] | None = None,
     earliest: str = EARLIEST,
     latest: str = LATEST,
 ) -> DataFrame:
@@ -34,7 +44,8 @@ def stg_events(
     Validity is judged on the surviving copy: an event whose newest copy is
     invalid disappears even if an older copy was valid.
     """
-    newest = newest_copy(raw.where(F.col("event_id").isNotNull()), tie_break=tie_break)
+    identified = raw.where(F.col("event_id").isNotNull())
+    newest = newest_copy(identified, tie_break=tie_break or _later_load_wins())
     created_on = date_or_null("created_at")
     created_at = timestamp_or_null("created_at")
     valid = newest.where(

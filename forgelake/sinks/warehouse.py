@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -66,7 +69,20 @@ def replace_dates(df: DataFrame, table: str) -> None:
     clustered = df.select(spark.table(table).columns).sortWithinPartitions(
         "date_partition", "event_type"
     )
-    clustered.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    with _dynamic_overwrite(spark):
+        clustered.write.insertInto(table, overwrite=True)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """``insertInto`` takes the mode from the session only, not from writer options."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def load_rows(df: DataFrame, table: str) -> None:

@@ -51,6 +51,12 @@ def read_raw_dates(
     return _between(spark.read.schema(RAW_ZONE).parquet(raw_zone), "date", start, end)
 
 
+def read_raw_days(spark: SparkSession, raw_zone: str, days: list[Date]) -> DataFrame:
+    """Raw rows of the listed dates, pruned like a range."""
+    wanted = [F.lit(str(d)).cast("date") for d in days]
+    return spark.read.schema(RAW_ZONE).parquet(raw_zone).where(F.col("date").isin(wanted))
+
+
 def read_processed_dates(
     spark: SparkSession, processed_zone: str, start: Date, end: Date | None = None
 ) -> DataFrame:
