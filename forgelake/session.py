@@ -14,6 +14,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Recording a Python call site per column expression costs more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # For long-running streams: state on disk instead of the executors' heap. The
