@@ -27,6 +27,7 @@ def deliver(folder, *records, name=None):
     folder.mkdir(exist_ok=True)
     lines = [r if isinstance(r, str) else json.dumps(r) for r in records]
     (folder / f"{name or time.time_ns()}.json").write_text("\n".join(lines) + "\n")
+    time.sleep(0.02)  # the file source orders files by modification time, in milliseconds
 
 
 def record(event_id, **more):
