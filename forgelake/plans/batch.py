@@ -1,9 +1,10 @@
-"""Daily runs. Each takes one date or an inclusive range, so a backfill is one job,
-and replaces what an earlier run of the same dates wrote."""
+"""Daily runs. Each takes one date or an inclusive range and replaces what an earlier
+run of the same dates wrote."""
 
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,18 +14,16 @@ from forgelake.operators.enrich import coerce_types, enrich
 from forgelake.operators.normalise import normalise_daily
 from forgelake.schemas import PROCESSED_ZONE, RAW_TABLE
 from forgelake.settings import Settings
-from forgelake.sinks.files import overwrite_partitions
+from forgelake.sinks.files import overwrite_date
 from forgelake.sinks.warehouse import load_rows, raw_table_name
 from forgelake.sources.files import (
     dates_touched_since,
     read_api_events,
     read_processed_dates,
+    read_raw_date,
     read_raw_dates,
-    read_raw_days,
 )
 
-PROCESSED_PARTITIONS = ["date", "event_type"]
-
 
 def yesterday() -> str:
     return str(dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1))
@@ -49,10 +48,12 @@ def process_dates(
     start: str | None = None,
     end: str | None = None,
     processed_at: Column | None = None,
+    at_once: int = 4,
 ) -> dict[str, int]:
-    """Raw zone to processed zone; returns the rows read and written."""
+    """Raw zone to processed zone for one date or a range; returns the rows read and
+    written. Dates without raw rows are left as they are."""
     raw = read_raw_dates(spark, settings.raw_zone, start or yesterday(), end)
-    return _process(raw, settings, processed_at)
+    return _process_days(raw.select("date").distinct(), settings, processed_at, at_once)
 
 
 def reprocess_since(
@@ -60,21 +61,35 @@ def reprocess_since(
     settings: Settings,
     since: dt.datetime,
     processed_at: Column | None = None,
+    at_once: int = 4,
 ) -> dict[str, int]:
     """Process again every date that got raw files after ``since``, which is how late
-    events reach the processed zone. The dates, a calendar's worth at most, are
-    fetched so that the scan prunes to their partitions."""
-    days = [row.date for row in dates_touched_since(spark, settings.raw_zone, since).collect()]
-    if not days:
-        return {"raw_rows": 0, "processed_rows": 0}
-    return _process(read_raw_days(spark, settings.raw_zone, days), settings, processed_at)
+    events reach the processed zone."""
+    touched = dates_touched_since(spark, settings.raw_zone, since)
+    return _process_days(touched, settings, processed_at, at_once)
 
 
-def _process(raw: DataFrame, settings: Settings, processed_at: Column | None) -> dict[str, int]:
-    raw, read = _counted(raw, "raw_rows")
-    out, written = _counted(processed(raw, processed_at), "processed_rows")
-    overwrite_partitions(out, settings.processed_zone, PROCESSED_PARTITIONS)
-    return {"raw_rows": read.get["rows"], "processed_rows": written.get["rows"]}
+def _process_days(
+    days: DataFrame, settings: Settings, processed_at: Column | None, at_once: int
+) -> dict[str, int]:
+    """One job per date, ``at_once`` of them submitted together. Each replaces its date
+    whole, so that a type the date no longer has goes too; a run that fails keeps the
+    dates it finished. Only the dates, a calendar's worth, come to the driver."""
+    spark = days.sparkSession
+
+    def process(day: dt.date) -> tuple[int, int]:
+        raw, read = _counted(read_raw_date(spark, settings.raw_zone, day), f"raw_{day}")
+        out, written = _counted(processed(raw, processed_at), f"processed_{day}")
+        overwrite_date(out, settings.processed_zone, day)
+        return read.get["rows"], written.get["rows"]
+
+    found = sorted(row.date for row in days.collect())
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        counts = list(pool.map(process, found))
+    return {
+        "raw_rows": sum(read for read, _ in counts),
+        "processed_rows": sum(written for _, written in counts),
+    }
 
 
 def daily_rows(events: DataFrame, date: str, now: Column | None = None) -> DataFrame:
@@ -90,7 +105,7 @@ def fetch_date(
     """Landed API pages straight to the processed zone of one date."""
     label = date or str(dt.datetime.now(dt.timezone.utc).date())
     out, written = _counted(daily_rows(read_api_events(spark, landed), label), "daily_rows")
-    overwrite_partitions(out, settings.processed_zone, PROCESSED_PARTITIONS)
+    overwrite_date(out, settings.processed_zone, label)
     return {"processed_rows": written.get["rows"]}
 
 

@@ -32,6 +32,17 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: list[str]) -> Non
     )
 
 
+def overwrite_date(df: DataFrame, zone: str, date) -> None:
+    """Replace all of ``zone/date=<date>``, split by event type."""
+    (
+        rebalanced(df.drop("date"), ["event_type"])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("event_type")
+        .parquet(f"{zone}/date={date}")
+    )
+
+
 def append_raw(df: DataFrame, raw_zone: str, fallback=None) -> None:
     """Append a batch to the raw zone, untyped events under their own label."""
     labelled = df.withColumn("event_type", F.coalesce("event_type", F.lit(UNKNOWN_TYPE)))

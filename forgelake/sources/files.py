@@ -43,20 +43,20 @@ def _between(df: DataFrame, column: str, start: Date, end: Date | None) -> DataF
     return df.where(F.col(column).between(low, high))
 
 
+def read_raw_date(spark: SparkSession, raw_zone: str, date: Date) -> DataFrame:
+    """Raw rows of one date. Only that date's folder is listed; a missing one is an
+    error."""
+    reader = spark.read.schema(RAW_ZONE).option("basePath", raw_zone)
+    return reader.parquet(f"{raw_zone}/date={date}")
+
+
 def read_raw_dates(
     spark: SparkSession, raw_zone: str, start: Date, end: Date | None = None
 ) -> DataFrame:
-    """Raw rows of one date or an inclusive range; other dates' files are never listed
-    as input because ``date`` is a partition column."""
+    """Raw rows of an inclusive range of dates, pruned to their partitions."""
     return _between(spark.read.schema(RAW_ZONE).parquet(raw_zone), "date", start, end)
 
 
-def read_raw_days(spark: SparkSession, raw_zone: str, days: list[Date]) -> DataFrame:
-    """Raw rows of the listed dates, pruned like a range."""
-    wanted = [F.lit(str(d)).cast("date") for d in days]
-    return spark.read.schema(RAW_ZONE).parquet(raw_zone).where(F.col("date").isin(wanted))
-
-
 def read_processed_dates(
     spark: SparkSession, processed_zone: str, start: Date, end: Date | None = None
 ) -> DataFrame:

@@ -19,7 +19,8 @@ from forgelake.sinks.warehouse import (
     by_name, create_tables, load_rows, raw_table_name, replace_dates, require_bigint, widened,
 )
 from forgelake.sources.files import (
-    read_parquet_tree, read_processed_dates, read_raw_dates, read_seed_csv, with_path_column,
+    read_parquet_tree, read_processed_dates, read_raw_date, read_raw_dates,
+    read_seed_csv, with_path_column,
 )
 from forgelake.sources.kafka import kafka_options
 from forgelake.sources.tables import raw_source, read_table
@@ -194,6 +195,10 @@ def test_raw_to_processed_to_table(spark, lake):
     assert os.path.isdir(f"{lake.raw_zone}/date=2024-01-02/hour=07/event_type=PushEvent")
     assert os.path.isdir(f"{lake.raw_zone}/date=2024-01-02/hour=01/event_type=Unknown")
     assert read_raw_dates(spark, lake.raw_zone, "2024-01-01").count() == 2
+    one = read_raw_date(spark, lake.raw_zone, "2024-01-01")
+    assert [(str(r.date), r.hour) for r in one.collect()] == [("2024-01-01", "10")] * 2
+    with pytest.raises(AnalysisException):
+        read_raw_date(spark, lake.raw_zone, "2024-01-09")
 
     counts = batch.process_dates(spark, lake, "2024-01-01", "2024-01-02")
     assert counts == {"raw_rows": 4, "processed_rows": 3}
@@ -226,6 +231,20 @@ def test_late_events_are_reprocessed(spark, lake):
     assert sorted(r.event_id for r in ids.collect()) == ["1", "2", "late"]
 
 
+def test_a_type_that_vanished_from_a_date_goes(spark, lake, api_rows):
+    def page(kind):
+        return {"id": kind, "type": kind, "repo": {"name": "o/r"}, "created_at": "2024-01-01T00:00:00Z"}
+
+    for kinds, date in ((["PushEvent", "ForkEvent"], "2024-01-01"), (["ForkEvent"], "2024-01-02"),
+                        (["PushEvent"], "2024-01-01")):
+        api_rows(*map(page, kinds)).write.mode("overwrite").json(lake.zone("landing"))
+        batch.fetch_date(spark, lake, lake.zone("landing"), date)
+    rows = read_processed_dates(spark, lake.processed_zone, "2024-01-01", "2024-01-02").collect()
+    assert sorted((str(r.date), r.event_type) for r in rows) == [
+        ("2024-01-01", "PushEvent"), ("2024-01-02", "ForkEvent"),
+    ]
+
+
 def test_daily_run_end_to_end(spark, lake):
     rows = [
         record(event_id=str(i), actor=f"a{i % 3}", created_at=f"2024-01-01T0{i}:00:00Z", commit_count=i,
