@@ -53,14 +53,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def finer_tasks(spark: SparkSession) -> Iterator[None]:
-    """Let small writes use all cores. The test tables are spread thinly over thousands
-    of raw-zone partitions, where creating files costs far more than filling them and
-    packing tasks by bytes leaves a single writer."""
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     before = spark.conf.get(key)
-    spark.conf.set(key, "8k")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+def finer_tasks(spark: SparkSession):
+    """Let small writes use all cores. The test tables are spread thinly over thousands
+    of raw-zone partitions, where creating files costs far more than filling them and
+    packing tasks by bytes leaves a single writer."""
+    return _setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "8k")
+
+
+def state_per_core(spark: SparkSession):
+    """One state partition per core: a stream's shuffles are not adapted at run time."""
+    cores = str(spark.sparkContext.defaultParallelism)
+    return _setting(spark, "spark.sql.shuffle.partitions", cores)

@@ -10,7 +10,7 @@ from catalogue.adapter import RAW_SQL, raw_events
 from catalogue.files import FIRST, LAST, _ROUTED_SQL, _fallback, workspace
 from catalogue.payloads import API_SQL, NOW, WATCHED_SQL, api_events
 from catalogue.records import TRACKED, damaged_messages, records, repo_meta
-from catalogue.registry import finer_tasks, query, written
+from catalogue.registry import finer_tasks, query, state_per_core, written
 from forgelake.schemas import EVENT, RAW_API
 from forgelake.sources.files import read_raw_dates, stream_api_events, stream_text
 from forgelake.streaming.dedup import dedup_stream
@@ -25,14 +25,14 @@ from forgelake.streaming.ingest import (
 
 
 def _drain(stream: DataFrame, path: str, checkpoint: str) -> None:
-    (
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
     )
+    with state_per_core(stream.sparkSession):
+        writer.start().awaitTermination()
 
 
 @query(
