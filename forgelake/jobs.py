@@ -28,11 +28,12 @@ from forgelake.plans.report import run_report
 from forgelake.session import STREAM_CONF, session
 from forgelake.settings import Settings
 from forgelake.sinks.files import write_exports
+from forgelake.sinks.kafka import write_kafka_stream
 from forgelake.sinks.warehouse import create_tables, raw_table_name
-from forgelake.sources.files import read_processed_dates
+from forgelake.sources.files import read_processed_dates, stream_api_events
 from forgelake.sources.kafka import stream_kafka
 from forgelake.sources.tables import read_table
-from forgelake.streaming.ingest import parse_messages, write_raw_zone
+from forgelake.streaming.ingest import normalised_stream, parse_messages, write_raw_zone
 
 
 def stream(spark: SparkSession, settings: Settings) -> None:
@@ -46,6 +47,39 @@ def stream(spark: SparkSession, settings: Settings) -> None:
     ).awaitTermination()
 
 
+def landed_events(
+    spark: SparkSession, settings: Settings, landed: str, meta: str | None = None
+) -> DataFrame:
+    """Stream of records from landed API pages, with metadata from table ``meta``."""
+    return normalised_stream(
+        stream_api_events(spark, landed),
+        settings.tracked_repos,
+        read_table(spark, meta) if meta else None,
+        settings.dedup_delay,
+    )
+
+
+def ingest(spark: SparkSession, settings: Settings, landed: str, meta: str | None = None) -> None:
+    """Landed API pages to raw zone until stopped, with no broker between."""
+    write_raw_zone(
+        landed_events(spark, settings, landed, meta),
+        settings.raw_zone,
+        settings.zone("checkpoints/ingest"),
+        settings.trigger,
+    ).awaitTermination()
+
+
+def produce(spark: SparkSession, settings: Settings, landed: str, meta: str | None = None) -> None:
+    """Landed API pages to topic until stopped."""
+    write_kafka_stream(
+        landed_events(spark, settings, landed, meta),
+        settings.kafka_servers,
+        settings.kafka_topic,
+        settings.zone("checkpoints/topic"),
+        settings.trigger,
+    ).awaitTermination()
+
+
 def dry_run(spark: SparkSession, settings: Settings, start: str, end: str) -> DataFrame:
     """Processed rows per date, dates without any flagged."""
     rows = read_processed_dates(spark, settings.processed_zone, start, end)
@@ -85,6 +119,13 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="forgelake", description=__doc__.splitlines()[0])
     stages = p.add_subparsers(dest="stage", required=True)
     stages.add_parser("stream", help="topic to raw zone, until stopped")
+    for name, text in (
+        ("ingest", "landed API pages to raw zone, until stopped"),
+        ("produce", "landed API pages to topic, until stopped"),
+    ):
+        s = stages.add_parser(name, help=text)
+        s.add_argument("--landed", required=True, help="folder of event JSON lines")
+        s.add_argument("--meta", help="table of repository metadata")
     for name, text in (
         ("process", "raw zone to processed zone"),
         ("load", "processed zone to raw table"),
@@ -111,10 +152,14 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     settings = Settings.from_mapping(os.environ)
-    conf = STREAM_CONF if args.stage == "stream" else {}
+    conf = STREAM_CONF if args.stage in ("stream", "ingest", "produce") else {}
     spark = session(f"forgelake-{args.stage}", **conf)
     if args.stage == "stream":
         stream(spark, settings)
+    elif args.stage == "ingest":
+        ingest(spark, settings, args.landed, args.meta)
+    elif args.stage == "produce":
+        produce(spark, settings, args.landed, args.meta)
     elif args.stage == "process":
         print(batch.process_dates(spark, settings, args.date, args.until))
     elif args.stage == "reprocess":

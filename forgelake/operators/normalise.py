@@ -37,7 +37,7 @@ ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
 def iso_now() -> Column:
     """The batch's time as ISO text, as the record carries it."""
-    return F.date_format(F.current_timestamp(), ISO_UTC)
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), ISO_UTC)
 
 
 def watched(df: DataFrame, column: str = "type") -> DataFrame:

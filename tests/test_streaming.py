@@ -1,13 +1,21 @@
 """Streams over files, drained, restarted and compared with batch."""
 
+import datetime as dt
 import json
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from forgelake import jobs
 from forgelake.schemas import EVENT, RAW_API
-from forgelake.sources.files import read_raw_dates, stream_api_events, stream_text
+from forgelake.sources.files import (
+    dates_touched_since,
+    read_raw_date,
+    read_raw_dates,
+    stream_api_events,
+    stream_text,
+)
 from forgelake.streaming.dedup import dedup_stream
 from forgelake.streaming.ingest import (
     normalised_stream,
@@ -104,6 +112,35 @@ def test_rows_go_to_the_partition_of_their_event_time(spark, tmp_path, lake):
         "1": ("2024-01-02", "03"), "bad": ("2024-01-05", "06"), "late": ("2023-12-31", "23"),
     }
     assert "_dt" not in rows[0].asDict()
+    assert [r.event_id for r in read_raw_date(spark, lake.raw_zone, "2023-12-31").collect()] == ["late"]
+
+
+def test_late_rows_mark_their_date_as_touched(spark, tmp_path, lake):
+    landing = tmp_path / "in"
+
+    def run():
+        events = parse_messages(stream_text(spark, str(landing)))
+        write_raw_zone(events, lake.raw_zone, lake.zone("check"), trigger=None).awaitTermination()
+
+    deliver(landing, record("1"), record("2", created_at="2024-01-03T00:00:00Z"))
+    run()
+    time.sleep(0.05)
+    since = dt.datetime.now(dt.timezone.utc)
+    deliver(landing, record("late"))
+    run()
+    touched = dates_touched_since(spark, lake.raw_zone, since).collect()
+    assert [str(r.date) for r in touched] == ["2024-01-02"]
+
+
+def test_landed_pages_to_records(spark, tmp_path, lake):
+    landing = tmp_path / "in"
+    page = {"id": "1", "type": "WatchEvent", "repo": {"name": "golang/go"}, "created_at": "2024-01-01T00:00:00Z"}
+    deliver(landing, page, page)
+    records = jobs.landed_events(spark, lake, str(landing))
+    drain(records, tmp_path / "out", tmp_path / "check")
+    (row,) = spark.read.schema(EVENT).parquet(str(tmp_path / "out")).collect()
+    assert (row.event_id, row.is_tracked, row.language) == ("1", True, "Unknown")
+    assert dt.datetime.fromisoformat(row.ingested_at).utcoffset() == dt.timedelta(0)
 
 
 def test_batch_sink_labels_untyped_events(spark, tmp_path, lake):
