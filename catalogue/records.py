@@ -187,7 +187,7 @@ def repo_meta(raw: DataFrame) -> DataFrame:
         F.when(language != "C", language).alias("language"),
         *[F.max(int_or_null(c)).alias(c) for c in ("stars", "forks", "open_issues")],
         F.max("description").alias("description"),
-        F.array_sort(F.collect_set("language")).alias("topics"),
+        F.array(language).alias("topics"),
     )
 
 

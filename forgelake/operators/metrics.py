@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from forgelake.schemas import WATCHED_TYPES
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count rows as they flow past, instead of in a job of their own. The count is in
+    ``observation.get["rows"]`` once the frame has been written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def dedup_counts(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Rows before and after removing copies, null keys counting as one key."""
     per_key = df.groupBy(*(keys or ["event_id"])).agg(F.count(F.lit(1)).alias("copies"))

@@ -6,11 +6,12 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.operators.dedup import newest_copy
 from forgelake.operators.enrich import coerce_types, enrich
+from forgelake.operators.metrics import counted
 from forgelake.operators.normalise import normalise_daily
 from forgelake.schemas import PROCESSED_ZONE, RAW_TABLE
 from forgelake.settings import Settings
@@ -36,12 +37,6 @@ def processed(raw: DataFrame, processed_at: Column | None = None) -> DataFrame:
     return coerce_types(enrich(unique, processed_at)).select(PROCESSED_ZONE.names)
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows as they flow past, instead of in a job of their own."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def process_dates(
     spark: SparkSession,
     settings: Settings,
@@ -78,8 +73,8 @@ def _process_days(
     spark = days.sparkSession
 
     def process(day: dt.date) -> tuple[int, int]:
-        raw, read = _counted(read_raw_date(spark, settings.raw_zone, day), f"raw_{day}")
-        out, written = _counted(processed(raw, processed_at), f"processed_{day}")
+        raw, read = counted(read_raw_date(spark, settings.raw_zone, day))
+        out, written = counted(processed(raw, processed_at))
         overwrite_date(out, settings.processed_zone, day)
         return read.get["rows"], written.get["rows"]
 
@@ -104,7 +99,7 @@ def fetch_date(
 ) -> dict[str, int]:
     """Landed API pages straight to the processed zone of one date."""
     label = date or str(dt.datetime.now(dt.timezone.utc).date())
-    out, written = _counted(daily_rows(read_api_events(spark, landed), label), "daily_rows")
+    out, written = counted(daily_rows(read_api_events(spark, landed), label))
     overwrite_date(out, settings.processed_zone, label)
     return {"processed_rows": written.get["rows"]}
 
@@ -122,6 +117,6 @@ def load_dates(
     if dedup:
         rows = newest_copy(rows, keys=["date", "event_id"])
     rows = coerce_types(rows).withColumnRenamed("date", "date_partition")
-    out, loaded = _counted(rows.select(RAW_TABLE.names), "loaded_rows")
+    out, loaded = counted(rows.select(RAW_TABLE.names))
     load_rows(out, raw_table_name(settings))
     return {"loaded_rows": loaded.get["rows"]}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.operators.enrich import with_raw_partitions
+from forgelake.operators.metrics import counted
 from forgelake.schemas import UNKNOWN_TYPE
 
 RAW_PARTITIONS = ["date", "hour", "event_type"]
@@ -32,7 +35,7 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: list[str]) -> Non
     )
 
 
-def overwrite_date(df: DataFrame, zone: str, date) -> None:
+def overwrite_date(df: DataFrame, zone: str, date: dt.date | str) -> None:
     """Replace all of ``zone/date=<date>``, split by event type."""
     (
         rebalanced(df.drop("date"), ["event_type"])
@@ -43,13 +46,15 @@ def overwrite_date(df: DataFrame, zone: str, date) -> None:
     )
 
 
-def append_raw(df: DataFrame, raw_zone: str, fallback=None) -> None:
-    """Append a batch to the raw zone, untyped events under their own label."""
+def append_raw(df: DataFrame, raw_zone: str, fallback: Column | None = None) -> int:
+    """Append a batch to the raw zone, untyped events under their own label, and return
+    the rows written."""
     labelled = df.withColumn("event_type", F.coalesce("event_type", F.lit(UNKNOWN_TYPE)))
-    routed = with_raw_partitions(labelled, fallback)
+    routed, written = counted(with_raw_partitions(labelled, fallback))
     rebalanced(routed, RAW_PARTITIONS).write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(
         raw_zone
     )
+    return written.get["rows"]
 
 
 def write_csv(df: DataFrame, folder: str, single_file: bool = False) -> str:

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from forgelake.functions import strict_cast
 from forgelake.schemas import COUNT_COLUMNS, RAW_TABLE, RAW_TABLE_REQUIRED
@@ -52,6 +52,8 @@ def by_name(
             c = F.lit(None).cast(f.dataType)
         elif df.schema[source].dataType == f.dataType:
             c = F.col(source)
+        elif isinstance(df.schema[source].dataType, ArrayType) and f.dataType == StringType():
+            c = F.to_json(source)
         else:
             c = strict_cast(source, f.dataType, f.name)
         if required and f.name in required:

@@ -46,9 +46,11 @@ def test_load_is_idempotent_and_leaves_other_dates(spark, lake):
 
 
 def test_load_by_name(spark):
-    df = spark.createDataFrame([("7", "x", "9")], "STARS string, Extra string, Event_Id string")
+    df = spark.createDataFrame(
+        [("7", "x", "9", ["a"])], "STARS string, Extra string, Event_Id string, Topics array<string>"
+    )
     row = by_name(df).first()
-    assert (row.stars, row.event_id, row.org) == (7, "9", None)
+    assert (row.stars, row.event_id, row.org, row.topics) == (7, "9", None, '["a"]')
     assert by_name(df).columns == RAW_TABLE.names
 
 
@@ -191,7 +193,7 @@ def test_raw_to_processed_to_table(spark, lake):
         ],
         EVENT,
     )
-    append_raw(raw, lake.raw_zone, F.lit("2024-01-02 01:00:00").cast("timestamp"))
+    assert append_raw(raw, lake.raw_zone, F.lit("2024-01-02 01:00:00").cast("timestamp")) == 4
     assert os.path.isdir(f"{lake.raw_zone}/date=2024-01-02/hour=07/event_type=PushEvent")
     assert os.path.isdir(f"{lake.raw_zone}/date=2024-01-02/hour=01/event_type=Unknown")
     assert read_raw_dates(spark, lake.raw_zone, "2024-01-01").count() == 2
