@@ -111,12 +111,17 @@ def load_dates(
     end: str | None = None,
     dedup: bool = False,
 ) -> dict[str, int]:
-    """Processed zone to raw table. The processed zone already holds one copy per
-    event and date; ``dedup`` is for zones filled by other writers."""
+    """Processed zone to raw table; returns the rows loaded and the stale rows of the
+    same dates they replaced. The processed zone already holds one copy per event and
+    date; ``dedup`` is for zones filled by other writers."""
+    table = raw_table_name(settings)
     rows = read_processed_dates(spark, settings.processed_zone, start or yesterday(), end)
+    rows = rows.withColumnRenamed("date", "date_partition")
+    # Both sides are partition columns, so counting reads file footers only.
+    dates = rows.select("date_partition").distinct()
+    replaced = spark.table(table).join(dates, "date_partition", "left_semi").count()
     if dedup:
-        rows = newest_copy(rows, keys=["date", "event_id"])
-    rows = coerce_types(rows).withColumnRenamed("date", "date_partition")
-    out, loaded = counted(rows.select(RAW_TABLE.names))
-    load_rows(out, raw_table_name(settings))
-    return {"loaded_rows": loaded.get["rows"]}
+        rows = newest_copy(rows, keys=["date_partition", "event_id"])
+    out, loaded = counted(coerce_types(rows).select(RAW_TABLE.names))
+    load_rows(out, table)
+    return {"loaded_rows": loaded.get["rows"], "replaced_rows": replaced}

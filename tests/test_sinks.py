@@ -208,8 +208,9 @@ def test_raw_to_processed_to_table(spark, lake):
     assert (rows["1"].stars, rows["1"].pr_number, rows["2"].topics, rows["1"].topics) == (4, 0, '["x"]', "[]")
 
     create_tables(spark, lake)
-    for _ in range(2):
-        assert batch.load_dates(spark, lake, "2024-01-01", "2024-01-02") == {"loaded_rows": 3}
+    for replaced in (0, 3):
+        counts = batch.load_dates(spark, lake, "2024-01-01", "2024-01-02", dedup=replaced > 0)
+        assert counts == {"loaded_rows": 3, "replaced_rows": replaced}
     assert read_table(spark, raw_table_name(lake)).count() == 3
     missing = jobs.dry_run(spark, lake, "2024-01-01", "2024-01-03").collect()
     assert {str(r.date): (r.rows, r.missing) for r in missing} == {
@@ -254,9 +255,15 @@ def test_daily_run_end_to_end(spark, lake):
         for i in range(6)
     ]
     append_raw(spark.createDataFrame(rows, EVENT), lake.raw_zone)
-    report = {r.stage: (r.rows, r.status) for r in jobs.daily(spark, lake, "2024-01-01").collect()}
-    assert report["raw_rows"] == (6, "done") and report["loaded_rows"] == (6, "done")
-    assert report["checks"][1] == "passed"
+    for replaced in (0, 6):
+        stages = jobs.daily(spark, lake, "2024-01-01").collect()
+        report = {r.stage: (r.rows, r.status) for r in stages}
+        assert report["raw_rows"] == (6, "done") and report["loaded_rows"] == (6, "done")
+        assert report["replaced_rows"] == (replaced, "done")
+        assert report["checks"][1] == "passed"
+    assert {n: df.count() for n, df in jobs.saved_marts(spark, lake).items()} == {
+        "fact_commits": 6, "fact_prs": 0, "dim_repos": 1, "dim_contributors": 3,
+    }
     paths = jobs.export(spark, lake, days=40000)
     assert set(paths) == {"dim_repos", "dim_contributors", "fact_commits", "fact_prs"}
     top = spark.read.option("header", True).csv(paths["dim_contributors"])
