@@ -18,7 +18,7 @@ from catalogue.models import (
     enriched,
     stg,
 )
-from catalogue.payloads import NOW, WATCHED_SQL, api_events
+from catalogue.payloads import WATCHED_SQL, api_events
 from catalogue.records import FALLBACK, RECORDS_SQL, records
 from catalogue.registry import finer_tasks, query, written
 from forgelake.functions import int_or_null
@@ -27,7 +27,7 @@ from forgelake.operators.quality import MART_CHECKS, RAW_CHECKS, check_table, ch
 from forgelake.plans import batch, exports, marts
 from forgelake.plans.publish import publish
 from forgelake.plans.report import run_report as build_report
-from forgelake.schemas import COUNT_COLUMNS, PROCESSED_ZONE, RAW_TABLE, SEED_TYPES
+from forgelake.schemas import COUNT_COLUMNS, RAW_TABLE
 from forgelake.settings import Settings, scratch_dir
 from forgelake.sinks.files import append_raw, overwrite_partitions, write_csv, write_exports
 from forgelake.sinks.warehouse import (
@@ -140,7 +140,6 @@ def csv_round_trip(spark, sf_dir):
     return spark.read.schema(top.schema).option("header", True).option("escape", '"').csv(path)
 
 
-_PROCESSED_COLUMNS = [c for c in PROCESSED_ZONE.names if c != "topics"]
 _PROCESSED_SQL = f"""{_ROUTED_SQL},
 kept AS (
   SELECT * FROM routed WHERE event_type IS NOT NULL QUALIFY row_number() OVER (
