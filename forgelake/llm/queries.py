@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm import dart_minhash, decontaminate, langid, pieces, pii, secrets, topk, url_cascade, warc
+from forgelake.llm import chaining, dart_minhash, decontaminate, langid, pieces, pii, secrets, topk, url_cascade, warc
 from forgelake.llm.tables import shipped, table
 from forgelake.settings import scratch_dir
 
@@ -91,3 +91,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents", "doc_id", "text"))
