@@ -5,6 +5,7 @@ import inspect
 import pytest
 
 import __spark_entry__ as entry
+from catalogue.registry import ORACLE, QUERIES
 from tools.check_oracle import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -15,13 +16,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert compare(spark, con, name, SF) is None
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
