@@ -3,7 +3,7 @@
 Every event becomes one raw row and each tenth event a second copy. The rules are
 shared by both engines; they produce, on purpose, duplicate copies (later, tied,
 without ingest time), copies whose newest form is invalid, null and blank actors,
-unwatched types, junk numbers and junk times. No event is left out.
+unwatched types, decimal, over-long and junk numbers, times of day, years and junk times. No event is left out.
 """
 
 from __future__ import annotations
@@ -44,8 +44,16 @@ RULES = [
         "CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN 'Python' WHEN 2 THEN 'Go'"
         " WHEN 3 THEN 'Rust' ELSE 'C' END",
     ),
-    ("stars", "CASE WHEN n % 113 = 0 THEN 'n/a' ELSE CAST(k * 100 + n % 50 + c AS STRING) END"),
-    ("forks", "CAST(k * 10 + n % 7 AS STRING)"),
+    (
+        "stars",
+        "CASE WHEN n % 113 = 0 THEN 'n/a' WHEN n % 337 = 0 THEN '1e3' WHEN n % 17 = 0 THEN"
+        " concat(CAST(k * 100 + n % 50 + c AS STRING), CASE WHEN n % 2 = 0 THEN '.0' ELSE '.5' END)"
+        " ELSE CAST(k * 100 + n % 50 + c AS STRING) END",
+    ),
+    (
+        "forks",
+        "CASE WHEN n % 331 = 0 THEN '99999999999999999999' ELSE CAST(k * 10 + n % 7 AS STRING) END",
+    ),
     ("open_issues", "CAST(n % 13 AS STRING)"),
     ("description", "CASE WHEN k % 3 = 0 THEN NULL ELSE concat('repo ', CAST(k AS STRING)) END"),
     ("is_tracked", "(k < 10)"),
@@ -56,7 +64,11 @@ RULES = [
         " WHEN et = 'purchase' AND n % 5 <> 0 THEN concat('PR ', CAST(n AS STRING))"
         " WHEN et = 'error' THEN '' END",
     ),
-    ("commit_count", "CASE WHEN et = 'view' THEN CAST(n % 21 AS STRING) END"),
+    (
+        "commit_count",
+        "CASE WHEN et = 'view' THEN CASE WHEN n % 3 = 0 THEN concat(CAST(n % 21 AS STRING), '.0')"
+        " ELSE CAST(n % 21 AS STRING) END END",
+    ),
     ("pr_merged", "CASE WHEN et = 'purchase' AND n % 7 <> 0 THEN (n % 3 = 1 AND n % 2 = 0) END"),
     ("pr_number", "CASE WHEN et = 'purchase' THEN CAST(k * 10 + n % 10 AS STRING) END"),
     ("issue_number", "CASE WHEN et = 'error' AND n % 3 = 0 THEN CAST(n % 500 AS STRING) END"),
@@ -68,7 +80,7 @@ RULES = [
     ("ref_name", "CASE WHEN et = 'signup' AND n % 2 = 1 THEN concat('ref-', CAST(k AS STRING)) END"),
     (
         "created_at",
-        "CASE WHEN n % 109 = 0 THEN 'garbage' WHEN n % 211 = 0 THEN '1999-12-31T23:00:00Z'"
+        "CASE WHEN n % 109 = 0 THEN 'garbage' WHEN n % 311 = 0 THEN '10:30' WHEN n % 313 = 0 THEN '2024' WHEN n % 211 = 0 THEN '1999-12-31T23:00:00Z'"
         " ELSE {iso:ts} END",
     ),
     (

@@ -18,9 +18,9 @@ from catalogue.models import (
     enriched,
     stg,
 )
-from catalogue.payloads import WATCHED_SQL, api_events
-from catalogue.records import FALLBACK, RECORDS_SQL, records
-from catalogue.registry import finer_tasks, query, written
+from catalogue.payloads import api_events
+from catalogue.records import FALLBACK, RECORDS_SQL, records, topics_as_json
+from catalogue.registry import query, written
 from forgelake.functions import int_or_null
 from forgelake.operators.enrich import coerce_types
 from forgelake.operators.quality import MART_CHECKS, RAW_CHECKS, check_table, check_tables
@@ -98,9 +98,8 @@ def seed_csv_scan(spark, sf_dir):
 )
 def raw_date_scan(spark, sf_dir):
     raw_zone = workspace(spark, "rawscan").raw_zone
-    with finer_tasks(spark):
-        append_raw(records(spark, sf_dir), raw_zone, _fallback())
-    return read_raw_dates(spark, raw_zone, "2024-01-03", "2024-01-05").drop("topics")
+    append_raw(records(spark, sf_dir), raw_zone, _fallback())
+    return topics_as_json(read_raw_dates(spark, raw_zone, "2024-01-03", "2024-01-05"))
 
 
 @query(
@@ -142,7 +141,7 @@ def csv_round_trip(spark, sf_dir):
 
 _PROCESSED_SQL = f"""{_ROUTED_SQL},
 kept AS (
-  SELECT * FROM routed WHERE event_type IS NOT NULL QUALIFY row_number() OVER (
+  SELECT * REPLACE (ifnull(event_type, 'Unknown') AS event_type) FROM routed QUALIFY row_number() OVER (
     PARTITION BY date, event_id ORDER BY ingested_at DESC NULLS LAST) = 1)"""
 
 
@@ -159,9 +158,7 @@ kept AS (
 def processed_backfill(spark, sf_dir):
     """A range of dates processed, then some of them again: nothing is doubled."""
     lake = workspace(spark, "backfill")
-    typed = records(spark, sf_dir).where("event_type IS NOT NULL")
-    with finer_tasks(spark):
-        append_raw(typed, lake.raw_zone, _fallback())
+    append_raw(records(spark, sf_dir), lake.raw_zone, _fallback())
     batch.process_dates(spark, lake, FIRST, LAST, _processed_at(), at_once=8)
     batch.process_dates(spark, lake, "2024-01-05", "2024-01-08", _processed_at())
     rows = read_processed_dates(spark, lake.processed_zone, FIRST, LAST)
@@ -244,8 +241,8 @@ def widened_scan(spark, sf_dir):
 
 
 @query(
-    f"WITH {RAW_SQL}, kept AS (SELECT * FROM raw WHERE event_type IS NOT NULL"
-    " AND event_id IS NOT NULL AND c = 0) SELECT event_id, event_type,"
+    f"WITH {RAW_SQL}, kept AS (SELECT * REPLACE (ifnull(event_type, '') AS event_type)"
+    " FROM raw WHERE event_id IS NOT NULL AND c = 0) SELECT event_id, event_type,"
     " ifnull(actor, '') AS actor, ifnull(repo_name, '') AS repo_name,"
     " event_type = 'PullRequestEvent' AND ifnull(pr_merged, FALSE) AS is_merge,"
     " CASE WHEN event_type = 'PullRequestEvent' THEN CASE WHEN pr_merged THEN 'merged'"
@@ -255,11 +252,14 @@ def widened_scan(spark, sf_dir):
 def daily_fetch(spark, sf_dir):
     """Landed API pages to the processed zone of one date, fetched twice."""
     lake = workspace(spark, "daily")
-    landed = api_events(spark, sf_dir).where("id IS NOT NULL AND type IS NOT NULL")
-    landed.write.json(lake.zone("landing"))
+    # Of equally fresh copies either may stay, so second ones that differ in type stay out.
+    second = api_events(spark, sf_dir, 1).where("type IS NOT NULL")
+    api_events(spark, sf_dir, 0).union(second).write.json(lake.zone("landing"))
     for _ in range(2):
         batch.fetch_date(spark, lake, lake.zone("landing"), "2024-03-01")
-    return read_processed_dates(spark, lake.processed_zone, "2024-03-01").select(
+    # Events without an id are taken for copies of one, which one is not determined.
+    rows = read_processed_dates(spark, lake.processed_zone, "2024-03-01").where("event_id <> ''")
+    return rows.select(
         "event_id", "event_type", "actor", "repo_name", "is_merge", "pr_state", "stars", "topics",
         "ref_type", "date",
     )
@@ -390,16 +390,13 @@ def run_report(spark, sf_dir):
 
 
 @query(
-    f"WITH {_ROUTED_SQL} SELECT DISTINCT date FROM routed"
-    f" WHERE event_type IN ({WATCHED_SQL}) AND language = 'Rust'"
+    f"WITH {_ROUTED_SQL} SELECT DISTINCT date FROM routed WHERE language = 'Rust'"
 )
 def touched_dates(spark, sf_dir):
     """Dates reached by a second, late delivery."""
     raw_zone = workspace(spark, "touched").raw_zone
     rows = records(spark, sf_dir)
-    late = rows.where("language = 'Rust'").where(f"event_type IN ({WATCHED_SQL})")
-    with finer_tasks(spark):
-        append_raw(rows.where("language IS DISTINCT FROM 'Rust'"), raw_zone, _fallback())
-        since = dt.datetime.now(dt.timezone.utc)
-        append_raw(late, raw_zone, _fallback())
+    append_raw(rows.where("language IS DISTINCT FROM 'Rust'"), raw_zone, _fallback())
+    since = dt.datetime.now(dt.timezone.utc)
+    append_raw(rows.where("language = 'Rust'"), raw_zone, _fallback())
     return dates_touched_since(spark, raw_zone, since)

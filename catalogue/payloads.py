@@ -14,11 +14,11 @@ from catalogue.adapter import RAW_SQL, raw_events, table
 from catalogue.records import META_COLUMNS_SQL, META_SQL, TRACKED, repo_meta
 from catalogue.registry import query
 from forgelake.operators.lookup import with_repo_meta
+from forgelake.functions import int_or_null
 from forgelake.operators.normalise import normalise, normalise_daily
 from forgelake.schemas import RAW_API, WATCHED_TYPES
 
 NOW = "2024-03-01T00:00:00.000000+00:00"
-LISTED_COMMITS = 20
 # The whitespace both engines strip; in SQL as code points.
 _SPACE_SQL = " || ".join(
     f"chr({n})"
@@ -51,14 +51,12 @@ def _as_api(df: DataFrame, **columns) -> DataFrame:
 
 
 def pushes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One push per conversation. A conversation of any length contributes at most 20
-    rows to the array and only a count beyond that."""
+    """One push per conversation, a commit per turn."""
     turns = table(spark, sf_dir, "conversations")
     listed = (
         turns.withColumn(
             "rn", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "text"))
         )
-        .where(F.col("rn") <= LISTED_COMMITS)
         .groupBy("conv_id")
         .agg(F.array_sort(F.collect_list(F.struct("rn", F.col("text").alias("message")))).alias("t"))
     )
@@ -81,7 +79,7 @@ def pushes(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PUSHES_SQL = f"""turns AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS rn FROM conversations),
 pushes AS (
-  SELECT conv_id, count(*) AS n, least(count(*), {LISTED_COMMITS}) AS listed,
+  SELECT conv_id, count(*) AS n, count(*) AS listed,
     string_agg(ifnull(text, ''), ' | ' ORDER BY rn) FILTER (rn <= 5) AS messages,
     string_agg(substr(ifnull(text, ''), 1, 100), ' | ' ORDER BY rn) FILTER (rn <= 5) AS clipped
   FROM turns GROUP BY conv_id)"""
@@ -219,7 +217,7 @@ def api_events(spark: SparkSession, sf_dir: str, copy: int | None = None) -> Dat
     raw = raw_events(spark, sf_dir)
     if copy is not None:
         raw = raw.where(F.col("c") == copy)
-    number = F.col("pr_number").try_cast("bigint")
+    number = int_or_null("pr_number")
     return _as_api(
         raw,
         id=F.col("event_id"),
@@ -230,7 +228,7 @@ def api_events(spark: SparkSession, sf_dir: str, copy: int | None = None) -> Dat
         repo=F.col("repo_name"),
         payload={
             "action": F.col("action"),
-            "size": F.col("commit_count").try_cast("bigint"),
+            "size": int_or_null("commit_count"),
             "ref": F.col("ref_name"),
             "ref_type": F.col("ref_type"),
             "pull_request": F.struct(
@@ -243,7 +241,7 @@ def api_events(spark: SparkSession, sf_dir: str, copy: int | None = None) -> Dat
             "issue": F.struct(
                 F.lit(None).cast("string").alias("title"),
                 F.col("text_content").alias("body"),
-                F.col("issue_number").try_cast("bigint").alias("number"),
+                int_or_null("issue_number").alias("number"),
             ),
         },
     )

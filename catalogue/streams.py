@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from catalogue.adapter import raw_events
 from catalogue.files import FIRST, LAST, _ROUTED_SQL, _fallback, workspace
 from catalogue.payloads import API_SQL, NOW, WATCHED_SQL, api_events
-from catalogue.records import TRACKED, damaged_messages, records, repo_meta
-from catalogue.registry import finer_tasks, query, state_per_core, written
+from catalogue.records import TRACKED, damaged_messages, records, repo_meta, topics_as_json
+from catalogue.registry import query, written
 from forgelake.schemas import EVENT, RAW_API
 from forgelake.sources.files import read_raw_dates, stream_api_events, stream_text
 from forgelake.streaming.dedup import dedup_stream
@@ -31,8 +31,7 @@ def _drain(stream: DataFrame, path: str, checkpoint: str) -> None:
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    with state_per_core(stream.sparkSession):
-        writer.start().awaitTermination()
+    writer.start().awaitTermination()
 
 
 @query(
@@ -42,13 +41,13 @@ def _drain(stream: DataFrame, path: str, checkpoint: str) -> None:
 def stream_ingest(spark, sf_dir):
     """JSON messages, some cut short, to the raw zone."""
     lake = workspace(spark, "stream")
-    arriving = records(spark, sf_dir).repartitionByRange(8, "created_at")
+    arriving = records(spark, sf_dir).repartitionByRange("created_at")
     damaged_messages(arriving).write.text(lake.zone("landing"))
     events = parse_messages(stream_text(spark, lake.zone("landing"), max_files_per_trigger=4))
     write_raw_zone(
         events, lake.raw_zone, lake.zone("checkpoint"), trigger=None, fallback=_fallback()
     ).awaitTermination()
-    return read_raw_dates(spark, lake.raw_zone, FIRST, LAST).drop("topics")
+    return topics_as_json(read_raw_dates(spark, lake.raw_zone, FIRST, LAST))
 
 
 @query(
@@ -60,15 +59,14 @@ def stream_batch_append(spark, sf_dir):
     lake = workspace(spark, "append")
     messages = records(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
     messages.write.text(lake.zone("landing"))
-    with finer_tasks(spark):
-        write_raw_batches(
-            parsed(stream_text(spark, lake.zone("landing"))),
-            lake.raw_zone,
-            lake.zone("checkpoint"),
-            trigger=None,
-            fallback=_fallback(),
-        ).awaitTermination()
-    return read_raw_dates(spark, lake.raw_zone, FIRST, LAST).drop("topics")
+    write_raw_batches(
+        parsed(stream_text(spark, lake.zone("landing"))),
+        lake.raw_zone,
+        lake.zone("checkpoint"),
+        trigger=None,
+        fallback=_fallback(),
+    ).awaitTermination()
+    return topics_as_json(read_raw_dates(spark, lake.raw_zone, FIRST, LAST))
 
 
 @query(

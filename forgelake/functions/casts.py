@@ -13,20 +13,36 @@ def _column(c: Column | str) -> Column:
 
 
 def int_or_null(c: Column | str) -> Column:
-    return _column(c).try_cast("bigint")
+    """Whole number, or a decimal one rounded half away from zero; nullable counts
+    written as floats (``12.0``) read as what they were. No double is involved, so all
+    digits of a bigint are kept; what does not fit in one is null."""
+    text = _column(c).cast("string")
+    rounded = F.round(text.try_cast("decimal(38,18)")).try_cast("bigint")
+    return F.coalesce(text.try_cast("bigint"), rounded)
 
 
 def int_or_zero(c: Column | str) -> Column:
     return F.coalesce(int_or_null(c), F.lit(0))
 
 
+# A bare year, a year and month, or a time of day would be completed from the calendar or
+# from today's date.
+_FULL_DATE = r"^\s*[+-]?\d{4,6}-\d{1,2}-\d{1,2}"
+
+
+def _dated(c: Column | str) -> Column:
+    c = _column(c)
+    return F.when(c.cast("string").rlike(_FULL_DATE), c)
+
+
 def timestamp_or_null(c: Column | str) -> Column:
-    return _column(c).try_cast("timestamp")
+    """Time of a value that states a full date."""
+    return _dated(c).try_cast("timestamp")
 
 
 def date_or_null(c: Column | str) -> Column:
     """The value's own calendar date: an offset in the text does not shift it."""
-    return _column(c).try_cast("date")
+    return _dated(c).try_cast("date")
 
 
 def flag(c: Column | str) -> Column:

@@ -3,7 +3,7 @@
     python -m forgelake.jobs process --date 2024-01-31
     python -m forgelake.jobs process --date 2024-01-01 --until 2024-01-31
 
-Settings come from upper-cased environment keys (ROOT, KAFKA_SERVERS, ...).
+Settings come from upper-cased environment keys (FORGELAKE_ROOT, FORGELAKE_KAFKA_SERVERS, ...).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from forgelake.operators.metrics import rows_per_date
 from forgelake.operators.quality import (
@@ -25,26 +26,60 @@ from forgelake.operators.quality import (
 from forgelake.plans import batch, exports
 from forgelake.plans.publish import publish
 from forgelake.plans.report import run_report
+from forgelake.schemas import RAW_TABLE
 from forgelake.session import STREAM_CONF, session
 from forgelake.settings import Settings
 from forgelake.sinks.files import write_exports
 from forgelake.sinks.kafka import write_kafka_stream
 from forgelake.sinks.warehouse import create_tables, raw_table_name
-from forgelake.sources.files import read_processed_dates, stream_api_events
+from forgelake.sources.files import read_processed_dates, read_seed_csv, stream_api_events
 from forgelake.sources.kafka import stream_kafka
-from forgelake.sources.tables import read_table
-from forgelake.streaming.ingest import normalised_stream, parse_messages, write_raw_zone
-
-
-def stream(spark: SparkSession, settings: Settings) -> None:
-    """Topic to raw zone until stopped."""
-    messages = stream_kafka(spark, settings.kafka_servers, settings.kafka_topic)
-    write_raw_zone(
-        parse_messages(messages),
-        settings.raw_zone,
-        settings.zone("checkpoints/raw"),
-        settings.trigger,
-    ).awaitTermination()
+from forgelake.sources.tables import raw_source, read_table
+from forgelake.streaming.ingest import (
+    normalised_stream,
+    parse_messages,
+    write_raw_zone,
+    write_rejected,
+)
+from forgelake.streaming.progress import RunningCounters, observed, observed_messages
+
+
+def _stream_ready(spark: SparkSession, settings: Settings) -> list[RunningCounters]:
+    """Session settings of a stream, and counters that follow its batches."""
+    if settings.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(settings.state_partitions))
+    counters = [RunningCounters("messages"), RunningCounters("ingest")]
+    for c in counters:
+        spark.streams.addListener(c)
+    return counters
+
+
+def _until_stopped(counters: list[RunningCounters], *queries: StreamingQuery) -> dict[str, int]:
+    """Wait for the first query to end, stop the others, and return the totals."""
+    try:
+        queries[0].awaitTermination()
+    finally:
+        for q in queries[1:]:
+            q.stop()
+    return {key: n for c in counters for key, n in c.totals.items()}
+
+
+def stream(spark: SparkSession, settings: Settings, messages: DataFrame | None = None) -> dict[str, int]:
+    """Topic to raw zone until stopped, what cannot be read to the quarantine; returns the
+    running counters. ``messages`` stands in for the topic."""
+    counters = _stream_ready(spark, settings)
+    if messages is None:
+        limits = {"max_offsets_per_trigger": settings.max_offsets or None}
+        messages = stream_kafka(spark, settings.kafka_servers, settings.kafka_topic, **limits)
+    trigger = settings.trigger or None
+    events = observed(parse_messages(observed_messages(messages)))
+    return _until_stopped(
+        counters,
+        write_raw_zone(events, settings.raw_zone, settings.zone("checkpoints/raw"), trigger),
+        write_rejected(
+            messages, settings.zone("quarantine"), settings.zone("checkpoints/quarantine"), trigger
+        ),
+    )
 
 
 def landed_events(
@@ -52,32 +87,38 @@ def landed_events(
 ) -> DataFrame:
     """Stream of records from landed API pages, with metadata from table ``meta``."""
     return normalised_stream(
-        stream_api_events(spark, landed),
+        stream_api_events(spark, landed, settings.max_files or None),
         settings.tracked_repos,
         read_table(spark, meta) if meta else None,
         settings.dedup_delay,
     )
 
 
-def ingest(spark: SparkSession, settings: Settings, landed: str, meta: str | None = None) -> None:
+def ingest(
+    spark: SparkSession, settings: Settings, landed: str, meta: str | None = None
+) -> dict[str, int]:
     """Landed API pages to raw zone until stopped, with no broker between."""
-    write_raw_zone(
-        landed_events(spark, settings, landed, meta),
-        settings.raw_zone,
-        settings.zone("checkpoints/ingest"),
-        settings.trigger,
-    ).awaitTermination()
+    counters = _stream_ready(spark, settings)
+    events = observed(landed_events(spark, settings, landed, meta))
+    checkpoint = settings.zone("checkpoints/ingest")
+    return _until_stopped(
+        counters, write_raw_zone(events, settings.raw_zone, checkpoint, settings.trigger or None)
+    )
 
 
-def produce(spark: SparkSession, settings: Settings, landed: str, meta: str | None = None) -> None:
+def produce(
+    spark: SparkSession, settings: Settings, landed: str, meta: str | None = None
+) -> dict[str, int]:
     """Landed API pages to topic until stopped."""
-    write_kafka_stream(
-        landed_events(spark, settings, landed, meta),
+    counters = _stream_ready(spark, settings)
+    query = write_kafka_stream(
+        observed(landed_events(spark, settings, landed, meta)),
         settings.kafka_servers,
         settings.kafka_topic,
         settings.zone("checkpoints/topic"),
         settings.trigger,
-    ).awaitTermination()
+    )
+    return _until_stopped(counters, query)
 
 
 def dry_run(spark: SparkSession, settings: Settings, start: str, end: str) -> DataFrame:
@@ -86,8 +127,11 @@ def dry_run(spark: SparkSession, settings: Settings, start: str, end: str) -> Da
     return rows_per_date(rows, start, end)
 
 
-def build_models(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
-    return publish(read_table(spark, raw_table_name(settings)), settings)
+def build_models(
+    spark: SparkSession, settings: Settings, seed: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Models over the raw table, or over a development seed."""
+    return publish(raw_source(spark, raw_table_name(settings), seed), settings)
 
 
 def saved_marts(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
@@ -102,19 +146,38 @@ def run_checks(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def export(spark: SparkSession, settings: Settings, days: int | None = None) -> dict[str, str]:
-    bundle = exports.export_bundle(saved_marts(spark, settings), days or settings.export_days)
+    bundle = exports.export_bundle(
+        saved_marts(spark, settings), settings.export_days if days is None else days
+    )
     return write_exports(bundle, settings.zone("exports"))
 
 
-def daily(spark: SparkSession, settings: Settings, start: str, end: str | None = None) -> DataFrame:
-    """Process, load, model and check; the report's status is that of the checks."""
+def daily(
+    spark: SparkSession,
+    settings: Settings,
+    start: str,
+    end: str | None = None,
+    landed: str | None = None,
+) -> DataFrame:
+    """Process (or fetch from ``landed`` pages), load, model and check. The report has the
+    rows of every stage and mart; its status is that of the checks."""
     create_tables(spark, settings)
-    counts = batch.process_dates(spark, settings, start, end)
+    if landed:
+        counts = batch.fetch_date(spark, settings, landed, start)
+    else:
+        counts = batch.process_dates(spark, settings, start, end)
     counts |= batch.load_dates(spark, settings, start, end)
-    build_models(spark, settings)
+    for name, mart in build_models(spark, settings).items():
+        counts[name] = mart.count()  # from file footers
     return run_report(spark, start, counts, run_checks(spark, settings))
 
 
+def require_success(report: DataFrame) -> None:
+    """Raise if the run's checks failed."""
+    if not report.where("status = 'failed'").isEmpty():
+        raise ValueError("data-quality checks failed; see the report of the checks stage")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="forgelake", description=__doc__.splitlines()[0])
     stages = p.add_subparsers(dest="stage", required=True)
@@ -134,6 +197,8 @@ def parser() -> argparse.ArgumentParser:
         s = stages.add_parser(name, help=text)
         s.add_argument("--date", default=batch.yesterday(), help="first date, default yesterday")
         s.add_argument("--until", help="last date of a backfill, inclusive")
+        if name == "daily":
+            s.add_argument("--landed", help="start from landed API pages instead of the raw zone")
         if name == "load":
             s.add_argument("--setup-only", action="store_true", help="create tables, load nothing")
             s.add_argument("--dry-run", action="store_true", help="show rows per date, load nothing")
@@ -142,7 +207,8 @@ def parser() -> argparse.ArgumentParser:
     fetch = stages.add_parser("fetch", help="landed API pages to processed zone")
     fetch.add_argument("--date", help="label of the output partition, default today")
     fetch.add_argument("--landed", required=True, help="folder of event JSON lines")
-    stages.add_parser("models", help="staging views and mart tables")
+    models = stages.add_parser("models", help="staging views and mart tables")
+    models.add_argument("--seed", help="CSV to run over instead of the raw table")
     stages.add_parser("checks", help="data-quality report; fails on error-level failures")
     out = stages.add_parser("export", help="CSV extracts")
     out.add_argument("--days", type=int, help="trailing days of daily extracts")
@@ -155,11 +221,11 @@ def main(argv: list[str] | None = None) -> None:
     conf = STREAM_CONF if args.stage in ("stream", "ingest", "produce") else {}
     spark = session(f"forgelake-{args.stage}", **conf)
     if args.stage == "stream":
-        stream(spark, settings)
+        print(stream(spark, settings))
     elif args.stage == "ingest":
-        ingest(spark, settings, args.landed, args.meta)
+        print(ingest(spark, settings, args.landed, args.meta))
     elif args.stage == "produce":
-        produce(spark, settings, args.landed, args.meta)
+        print(produce(spark, settings, args.landed, args.meta))
     elif args.stage == "process":
         print(batch.process_dates(spark, settings, args.date, args.until))
     elif args.stage == "reprocess":
@@ -174,7 +240,8 @@ def main(argv: list[str] | None = None) -> None:
         if not args.setup_only:
             print(batch.load_dates(spark, settings, args.date, args.until))
     elif args.stage == "models":
-        build_models(spark, settings)
+        seed = read_seed_csv(spark, args.seed, RAW_TABLE.names) if args.seed else None
+        build_models(spark, settings, seed)
     elif args.stage == "checks":
         report = run_checks(spark, settings)
         report.show(100, truncate=False)
@@ -182,7 +249,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.stage == "export":
         print(export(spark, settings, args.days))
     elif args.stage == "daily":
-        daily(spark, settings, args.date, args.until).show(100, truncate=False)
+        report = daily(spark, settings, args.date, args.until, args.landed).cache()
+        report.show(100, truncate=False)
+        require_success(report)
 
 
 if __name__ == "__main__":

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forgelake.functions import timestamp_or_null
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """The first row of each key under ``order``.
@@ -32,7 +34,7 @@ def newest_copy(
     few columns are wanted downstream.
     """
     ties = tie_break or [F.xxhash64(*df.columns)]
-    newest = F.col("ingested_at").try_cast("timestamp").desc_nulls_last()
+    newest = timestamp_or_null("ingested_at").desc_nulls_last()
     return latest_per_key(df, keys or ["event_id"], [newest, *ties])
 
 

@@ -54,7 +54,7 @@ def with_date_partition(df: DataFrame, date: str) -> DataFrame:
 def with_raw_partitions(df: DataFrame, fallback: Column | None = None) -> DataFrame:
     """``date`` and ``hour`` of the event, or of ``fallback`` when its time is unreadable."""
     when = F.coalesce(
-        F.col("created_at").try_cast("timestamp"),
+        timestamp_or_null("created_at"),
         F.current_timestamp() if fallback is None else fallback,
     )
     return df.withColumns(

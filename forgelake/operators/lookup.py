@@ -30,13 +30,18 @@ def with_repo_meta(
 ) -> DataFrame:
     """Attach ``meta``, a struct of the repository's metadata or of its defaults.
 
-    ``meta`` holds one row per ``repo_name``. No broadcast is forced: the planner
+    Of several rows of ``meta`` for one ``repo_name`` the newest counts, by ``fetched_at``
+    if there is such a column, then by the values themselves. No broadcast is forced: the planner
     broadcasts it only while its size stays under the session's threshold. Beyond
     that, batch plans rely on adaptive skew-join splitting; a stream has no
     adaptive re-plan, so ``salts`` > 1 spreads a hot repository over that many
     tasks at the price of repeating each metadata row as often.
     """
     name = F.col("repo_name") if repo_name is None else repo_name
+    age = ["fetched_at"] if "fetched_at" in meta.columns else []
+    newest = F.max(F.struct(*age, "stars", "forks", "open_issues", "language", "description", "topics"))
+    meta = meta.where(F.col("repo_name").isNotNull()).groupBy("repo_name").agg(newest.alias("_row"))
+    meta = meta.select("repo_name", "_row.*")
     side = meta.select(
         F.col("repo_name").alias("_meta_repo"),
         F.struct(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.operators.dedup import newest_copy
-from forgelake.operators.enrich import coerce_types, enrich
+from forgelake.operators.enrich import coerce_types, enrich, with_date_partition
 from forgelake.operators.metrics import counted
 from forgelake.operators.normalise import normalise_daily
 from forgelake.schemas import PROCESSED_ZONE, RAW_TABLE
@@ -19,10 +19,10 @@ from forgelake.sinks.files import overwrite_date
 from forgelake.sinks.warehouse import load_rows, raw_table_name
 from forgelake.sources.files import (
     dates_touched_since,
+    listed_dates,
     read_api_events,
     read_processed_dates,
     read_raw_date,
-    read_raw_dates,
 )
 
 
@@ -47,8 +47,8 @@ def process_dates(
 ) -> dict[str, int]:
     """Raw zone to processed zone for one date or a range; returns the rows read and
     written. Dates without raw rows are left as they are."""
-    raw = read_raw_dates(spark, settings.raw_zone, start or yesterday(), end)
-    return _process_days(raw.select("date").distinct(), settings, processed_at, at_once)
+    days = listed_dates(spark, settings.raw_zone, start or yesterday(), end)
+    return _process_days(spark, days, settings, processed_at, at_once)
 
 
 def reprocess_since(
@@ -61,26 +61,25 @@ def reprocess_since(
     """Process again every date that got raw files after ``since``, which is how late
     events reach the processed zone."""
     touched = dates_touched_since(spark, settings.raw_zone, since)
-    return _process_days(touched, settings, processed_at, at_once)
+    days = sorted(str(row.date) for row in touched.collect())  # a calendar's worth
+    return _process_days(spark, days, settings, processed_at, at_once)
 
 
 def _process_days(
-    days: DataFrame, settings: Settings, processed_at: Column | None, at_once: int
+    spark: SparkSession, days: list[str], settings: Settings, processed_at: Column | None, at_once: int
 ) -> dict[str, int]:
     """One job per date, ``at_once`` of them submitted together. Each replaces its date
     whole, so that a type the date no longer has goes too; a run that fails keeps the
-    dates it finished. Only the dates, a calendar's worth, come to the driver."""
-    spark = days.sparkSession
+    dates it finished."""
 
-    def process(day: dt.date) -> tuple[int, int]:
+    def process(day: str) -> tuple[int, int]:
         raw, read = counted(read_raw_date(spark, settings.raw_zone, day))
         out, written = counted(processed(raw, processed_at))
         overwrite_date(out, settings.processed_zone, day)
         return read.get["rows"], written.get["rows"]
 
-    found = sorted(row.date for row in days.collect())
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        counts = list(pool.map(process, found))
+        counts = list(pool.map(process, days))
     return {
         "raw_rows": sum(read for read, _ in counts),
         "processed_rows": sum(written for _, written in counts),
@@ -116,7 +115,7 @@ def load_dates(
     date; ``dedup`` is for zones filled by other writers."""
     table = raw_table_name(settings)
     rows = read_processed_dates(spark, settings.processed_zone, start or yesterday(), end)
-    rows = rows.withColumnRenamed("date", "date_partition")
+    rows = with_date_partition(rows, F.col("date")).drop("date")
     # Both sides are partition columns, so counting reads file footers only.
     dates = rows.select("date_partition").distinct()
     replaced = spark.table(table).join(dates, "date_partition", "left_semi").count()

@@ -62,6 +62,7 @@ PR_STATUSES = ["open", "closed", "merged"]
 UNKNOWN_ACTOR = "[unknown]"
 UNKNOWN_LANGUAGE = "Unknown"
 UNKNOWN_TYPE = "Unknown"
+BLANK_TYPE = "__blank__"  # folder of blank types in the processed zone
 
 COUNT_COLUMNS = ["stars", "forks", "open_issues", "commit_count", "pr_number", "issue_number"]
 FLAG_COLUMNS = ["is_tracked", "pr_merged", "is_merge", "has_text"]

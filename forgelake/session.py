@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -36,13 +37,14 @@ def session(app: str, **conf: str) -> SparkSession:
 
 
 def local_session(cpus: int | None = None, memory: str = "8g") -> SparkSession:
-    """One-machine session for tests and benchmarks."""
+    """One-machine session for tests and benchmarks, with a scratch folder of its own."""
     cpus = cpus or min(8, os.cpu_count() or 1)
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("forgelake-local")
     for key, value in {
         **ENGINE_CONF,
         "spark.sql.shuffle.partitions": str(cpus),
         "spark.driver.memory": memory,
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="forgelake-"),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }.items():

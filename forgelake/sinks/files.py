@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.operators.enrich import with_raw_partitions
 from forgelake.operators.metrics import counted
-from forgelake.schemas import UNKNOWN_TYPE
+from forgelake.schemas import BLANK_TYPE, UNKNOWN_TYPE
 
 RAW_PARTITIONS = ["date", "hour", "event_type"]
 
@@ -36,9 +38,11 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: list[str]) -> Non
 
 
 def overwrite_date(df: DataFrame, zone: str, date: dt.date | str) -> None:
-    """Replace all of ``zone/date=<date>``, split by event type."""
+    """Replace all of ``zone/date=<date>``, split by event type. A blank type has a folder
+    of its own: a partition value cannot be blank and would come back as null."""
+    kind = F.when(F.col("event_type") == "", F.lit(BLANK_TYPE)).otherwise(F.col("event_type"))
     (
-        rebalanced(df.drop("date"), ["event_type"])
+        rebalanced(df.drop("date").withColumn("event_type", kind), ["event_type"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("event_type")
@@ -51,12 +55,25 @@ def append_raw(df: DataFrame, raw_zone: str, fallback: Column | None = None) ->
     the rows written."""
     labelled = df.withColumn("event_type", F.coalesce("event_type", F.lit(UNKNOWN_TYPE)))
     routed, written = counted(with_raw_partitions(labelled, fallback))
-    rebalanced(routed, RAW_PARTITIONS).write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(
-        raw_zone
-    )
+    writer = rebalanced(routed, RAW_PARTITIONS).write.mode("append").partitionBy(*RAW_PARTITIONS)
+    with _many_folders(df.sparkSession):
+        writer.parquet(raw_zone)
     return written.get["rows"]
 
 
+@contextmanager
+def _many_folders(spark: SparkSession) -> Iterator[None]:
+    """A small batch over many folders costs what its files cost to open, not its bytes:
+    let adaptive execution keep more, smaller writers than its usual megabyte each."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "32k")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_csv(df: DataFrame, folder: str, single_file: bool = False) -> str:
     """CSV with a header, quoting as RFC 4180 has it. ``single_file`` is for results
     whose row count is bounded by a limit."""

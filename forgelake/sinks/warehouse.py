@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from forgelake.functions import strict_cast
 from forgelake.schemas import COUNT_COLUMNS, RAW_TABLE, RAW_TABLE_REQUIRED
 from forgelake.settings import Settings
+from forgelake.sinks.files import rebalanced
 
 
 def raw_table_name(settings: Settings) -> str:
@@ -65,12 +66,12 @@ def by_name(
 
 def replace_dates(df: DataFrame, table: str) -> None:
     """Replace the table's partitions for every ``date_partition`` in ``df``; loading
-    the same dates again gives the same table. Rows are sorted by type inside each
-    file so that row groups can be skipped by event type."""
+    the same dates again gives the same table. Rows are gathered by date, so that a date
+    has few files however many tasks read it, and sorted by type inside each file so that
+    row groups can be skipped by event type."""
     spark = df.sparkSession
-    clustered = df.select(spark.table(table).columns).sortWithinPartitions(
-        "date_partition", "event_type"
-    )
+    gathered = rebalanced(df.select(spark.table(table).columns), ["date_partition"])
+    clustered = gathered.sortWithinPartitions("date_partition", "event_type")
     with _dynamic_overwrite(spark):
         clustered.write.insertInto(table, overwrite=True)
 

@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from forgelake.functions import path_value
-from forgelake.schemas import PROCESSED_ZONE, RAW_API, RAW_ZONE, SEED_TYPES
+from forgelake.functions import int_or_null, path_value
+from forgelake.schemas import BLANK_TYPE, PROCESSED_ZONE, RAW_API, RAW_ZONE, SEED_TYPES
 
 Date = dt.date | str
 
@@ -57,10 +57,42 @@ def read_raw_dates(
     return _between(spark.read.schema(RAW_ZONE).parquet(raw_zone), "date", start, end)
 
 
+def listed_dates(spark: SparkSession, zone: str, start: Date, end: Date | None = None) -> list[str]:
+    """Dates of an inclusive range that have a ``date=`` folder in ``zone``, in order, from
+    one listing of the zone; a missing zone has none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(zone)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    names = (str(f.getPath().getName()) for f in system.listStatus(path) if f.isDirectory())
+    low, high = str(start), str(end or start)
+    return sorted(d for n in names if n.startswith("date=") and low <= (d := n[5:]) <= high)
+
+
 def read_processed_dates(
     spark: SparkSession, processed_zone: str, start: Date, end: Date | None = None
 ) -> DataFrame:
-    return _between(spark.read.schema(PROCESSED_ZONE).parquet(processed_zone), "date", start, end)
+    """Processed rows of a range of dates. Only those dates' folders are read; the type is
+    the file's own column, else that of its path, be it a folder ``event_type=X`` or a
+    file ``event_type=X.parquet``. A missing zone or date gives no rows."""
+    dates = listed_dates(spark, processed_zone, start, end)
+    if not dates:
+        return spark.createDataFrame([], PROCESSED_ZONE)
+    stored = StructType([f for f in PROCESSED_ZONE if f.name != "date"])
+    files = spark.read.schema(stored).option("recursiveFileLookup", True)
+    rows = files.parquet(*(f"{processed_zone}/date={d}" for d in dates))
+    rows = with_path_column(with_path_column(rows, "event_type"), "date")
+    kind = F.when(F.col("event_type") != BLANK_TYPE, F.col("event_type")).when(
+        F.col("event_type") == BLANK_TYPE, F.lit("")
+    )
+    return rows.select(
+        *[
+            kind.alias(f.name) if f.name == "event_type"
+            else F.col("date").cast("date").alias(f.name) if f.name == "date"
+            else F.col(f.name)
+            for f in PROCESSED_ZONE
+        ]
+    )
 
 
 def read_parquet_tree(
@@ -87,14 +119,21 @@ def with_path_column(df: DataFrame, key: str = "event_type") -> DataFrame:
 
 
 def read_seed_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """CSV with a header; the ten declared columns are typed, the rest are text."""
-    schema = StructType([StructField(c, SEED_TYPES.get(c, StringType())) for c in columns])
-    return (
+    """CSV with a header, whose quoted values may hold line breaks; the ten declared
+    columns are typed, the rest are text. Counts are read as tolerantly as the models do."""
+    kinds = {c: SEED_TYPES.get(c, StringType()) for c in columns}
+    counts = [c for c, kind in kinds.items() if isinstance(kind, (IntegerType, LongType))]
+    schema = StructType(
+        [StructField(c, StringType() if c in counts else kind) for c, kind in kinds.items()]
+    )
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
+        .option("multiLine", True)
         .csv(path)
     )
+    return rows.withColumns({c: int_or_null(c).cast(kinds[c]) for c in counts})
 
 
 def dates_touched_since(spark: SparkSession, raw_zone: str, since: dt.datetime) -> DataFrame:

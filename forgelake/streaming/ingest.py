@@ -90,6 +90,14 @@ def write_raw_zone(
     return _scheduled(writer, trigger).start()
 
 
+def write_rejected(
+    messages: DataFrame, folder: str, checkpoint: str, trigger: str | None = "30 seconds"
+) -> StreamingQuery:
+    """The raw text of malformed and untyped messages as lines of text, exactly once."""
+    writer = rejected_messages(messages).writeStream.format("text").option("path", folder)
+    return _scheduled(writer.option("checkpointLocation", checkpoint), trigger).start()
+
+
 def write_raw_batches(
     events: DataFrame,
     raw_zone: str,

@@ -271,7 +271,7 @@ def test_daily_run_end_to_end(spark, lake):
 
 
 def test_settings():
-    s = Settings.from_mapping({"ROOT": "gs://b/x/", "TRACKED_REPOS": "a/b, c/d,", "EXPORT_DAYS": "30", "X": "1"})
+    s = Settings.from_mapping({"FORGELAKE_ROOT": "gs://b/x/", "FORGELAKE_TRACKED_REPOS": "a/b, c/d,", "FORGELAKE_EXPORT_DAYS": "30", "ROOT": "1"})
     assert (s.raw_zone, s.tracked_repos, s.export_days) == ("gs://b/x/raw", ["a/b", "c/d"], 30)
     assert len(Settings().tracked_repos) == 10
 
