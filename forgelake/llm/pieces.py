@@ -429,15 +429,19 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "token_ids", ou
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema]).add(out_col, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, drop = held.value.raw, held.value.prefix
+        raw, drop = pa.array(held.value.raw, pa.large_binary()), held.value.prefix
         for batch in batches:
-            texts = []
-            for ids in batch.column(ids_col):
-                if not ids.is_valid:
-                    texts.append(None)
-                    continue
-                text = b"".join([raw[i] for i in ids.values.to_pylist()]).decode("utf-8", "replace")
-                texts.append(text[1:] if drop and text[:1] == " " else text)
+            column, texts = batch.column(ids_col), []
+            # The pieces of all rows in a row: their bytes are the decoded texts.
+            taken = raw.take(column.flatten())
+            data = (taken.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+            ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
+            known = column.is_valid().to_numpy(zero_copy_only=False)
+            sizes = np.where(known, np.diff(column.offsets.to_numpy()), 0)
+            last = np.cumsum(sizes)
+            for ok, a, b in zip(known.tolist(), ends[last - sizes].tolist(), ends[last].tolist()):
+                text = data[a:b].decode("utf-8", "replace") if ok else None
+                texts.append(text[1:] if text and drop and text[0] == " " else text)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return kept.mapInArrow(run, schema)
