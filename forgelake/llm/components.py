@@ -25,13 +25,14 @@ def components(links: DataFrame) -> DataFrame:
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label"))
     labels = stored(labels, "labels")
     for _ in range(_STEPS):
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").select(F.col("a").alias("node"), "label")
-        least = labels.union(near).groupBy("node").agg(F.min("label").alias("label"))
+        own = labels.select("node", "label", F.col("label").alias("old"))
+        near = both.join(labels.withColumnRenamed("node", "b"), "b")
+        near = near.select(F.col("a").alias("node"), "label", F.lit(None).cast(labels.schema["label"].dataType).alias("old"))
+        least = own.union(near).groupBy("node").agg(F.min("label").alias("label"), F.max("old").alias("old"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = least.join(jump, "label", "left").select("node", F.least("label", "next").alias("label"))
+        new = least.join(jump, "label", "left").select("node", F.least("label", "next").alias("label"), "old")
         new = stored(new, "labels")
-        settled = new.join(labels.withColumnRenamed("label", "old"), "node").where("label <> old").isEmpty()
-        labels = new
-        if settled:
+        labels = new.select("node", "label")
+        if new.where("label <> old").isEmpty():
             return labels
     raise RuntimeError("labels did not settle")

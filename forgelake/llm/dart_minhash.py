@@ -13,11 +13,13 @@ with the text's total weight are thrown at once, some k ln k + 2k in all, howeve
 elements there are; texts with empty coordinates are thrown at again up to twice the rank.
 
 Candidates: texts of equal word sequence are one node, represented by the smallest id. Nodes
-that share a band of the signature form a bucket. (1) Every node is compared with the smallest
-node of its buckets. (2) In buckets that still hold several classes, every node is compared
-with a random one, another for each bucket. (3) What then still lies in different classes of a
-bucket is compared pair by pair, so that no candidate is lost. The first two steps are linear
-in a bucket and leave nothing to the third in a group of copies, however large.
+that agree in two near bands of the signature form a bucket: eight agreeing coordinates keep
+texts apart that merely share a passage, and as the pairs of bands are many a pair at the
+threshold is missed with a probability of some 1e-4. (1) Every node is compared with the most
+central node of its buckets, the one with most neighbours in all of its own: among copies with
+changes of their own that is the one with the fewest. (2) What then still lies in different
+classes of a bucket is compared pair by pair, so that no candidate is lost. The first step is
+linear in a bucket and leaves little to the second in a group of copies, however large.
 
 Defined cases. A null text is similar to nothing. Texts without words are alike if they are
 equal. Rows without id have no class and are not linked. Rows of one id are one document: the
@@ -42,7 +44,8 @@ from forgelake.llm.textblocks import FOLD, U64, mix, raw_texts, shingles_of, sli
 
 WORDS = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 32, 4  # a pair at the threshold is missed with probability 5e-8
+BANDS, ROWS = 32, 4
+NEAR = (1, 2)  # distances of the bands that are paired
 _UNIT = 1 << 18  # bytes of text whose darts are thrown together
 _NEXT = 0x9E3779B97F4A7C15
 
@@ -106,13 +109,14 @@ def _thrown(seeds, owners, room, limit, k: int) -> tuple[np.ndarray, np.ndarray]
     return slot[first], value[first]
 
 
-def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One signed 64-bit hash per band, different bands apart."""
+def bucket_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One signed 64-bit hash per pair of near bands, different pairs apart."""
     parts = signature.reshape(len(signature), bands, rows)
-    out = np.broadcast_to(mix(np.arange(1, bands + 1).astype(U64)), (len(signature), bands)).copy()
+    band = np.broadcast_to(mix(np.arange(1, bands + 1).astype(U64)), (len(signature), bands)).copy()
     for i in range(rows):
-        out = mix(out ^ parts[:, :, i]) + U64(_NEXT)
-    return out.view(np.int64)
+        band = mix(band ^ parts[:, :, i]) + U64(_NEXT)
+    pairs = [mix(band + np.roll(band, -d, axis=1) * U64(2 * d + 1)) for d in NEAR]
+    return np.concatenate(pairs, axis=1).view(np.int64)
 
 
 def _sequence_key(text: bytes) -> bytes:
@@ -122,8 +126,8 @@ def _sequence_key(text: bytes) -> bytes:
 
 
 def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``doc_id, key, bands`` of the documents with id and text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """``doc_id, key, buckets`` of the documents with id and text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("buckets", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _UNIT):
@@ -131,14 +135,14 @@ def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             shingles = shingles_of(words_of(texts), len(texts), WORDS)
             elements, owners, weights = weighted(*shingles)
             signature = signatures(elements, owners, weights, len(texts), bands * rows)
-            found = band_hashes(signature, bands, rows)
+            found = bucket_hashes(signature, bands, rows)
             has = np.bincount(owners, minlength=len(texts)) > 0
             lists = [f.tolist() if h else [] for f, h in zip(found, has)]
-            columns = [batch.column("doc_id"), pa.array([_sequence_key(t) for t in texts], pa.binary()), pa.array(lists, schema.field("bands").type)]
+            columns = [batch.column("doc_id"), pa.array([_sequence_key(t) for t in texts], pa.binary()), pa.array(lists, schema.field("buckets").type)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    return narrow.mapInArrow(run, "doc_id bigint, key binary, bands array<bigint>")
+    return narrow.mapInArrow(run, "doc_id bigint, key binary, buckets array<bigint>")
 
 
 def similarity(a: bytes, b: bytes) -> float:
@@ -175,10 +179,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     nodes = sig.groupBy("key").agg(F.min("doc_id").alias("node"))
     members = stored(sig.select("doc_id", "key").join(nodes, "key").select("doc_id", "node").distinct(), "members")
     heads = sig.join(nodes.select(F.col("node").alias("doc_id"), "key"), ["doc_id", "key"])
-    places = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("node")).distinct()
+    places = heads.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("node")).distinct()
     places = stored(places, "bucket-places")
-    sizes = places.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("head"))
-    shared = stored(places.join(sizes.where("n > 1").drop("n"), "bucket"), "buckets")
+    sizes = places.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(places.join(sizes, "bucket"), "buckets")
 
     # The texts that take part in any comparison, once. Rows of one id may differ in text:
     # the node's own is the one of its key, and any of equal key will do.
@@ -189,31 +193,29 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     # Rows of one id with different texts tie their nodes together.
     ties = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
     ties = members.join(ties, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
-    tried = stored(shared.select(F.col("head").alias("a"), F.col("node").alias("b")).where("a <> b").distinct(), "pairs")
+
+    def ordered(a, b) -> list:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+    central = shared.groupBy("node").agg(F.sum("n").alias("weight"))
+    heads = shared.join(central, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("head"))
+    tried = shared.join(heads, "bucket").where("node <> head.node").select(*ordered("node", "head.node"))
+    tried = stored(tried.distinct(), "pairs")
     links = stored(verified(tried, texts, threshold).union(ties), "links")
 
     def mixed(labels: DataFrame) -> DataFrame:
         """Places of buckets that hold several classes."""
         named = shared.select("bucket", "node").join(labels.withColumnRenamed("label", "named"), "node", "left")
         named = named.withColumn("label", F.coalesce("named", "node")).drop("named")
-        spread = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct(F.xxhash64("node", "bucket"), "node", "label")).alias("head"))
+        spread = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         return named.join(spread.where("low < high").drop("low", "high"), "bucket")
 
-    def ordered(a, b) -> list:
-        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
     labels = components(links)
     places = stored(mixed(labels), "mixed")
-    if not places.isEmpty():
-        again = places.where("label <> head.label").select(*ordered(F.col("node"), F.col("head.node"))).distinct()
-        again = stored(again.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = stored(links.union(verified(again, texts, threshold)), "links")
-        tried, labels = tried.union(again), components(links)
-        places = stored(mixed(labels), "mixed")
     if not places.isEmpty():
         other = places.select("bucket", F.col("node").alias("other"), F.col("label").alias("other_label"))
         last = places.join(other, "bucket").where("label < other_label")
-        last = last.select(*ordered(F.col("node"), F.col("other"))).distinct().join(tried, ["a", "b"], "left_anti")
+        last = last.select(*ordered("node", "other")).distinct().join(tried, ["a", "b"], "left_anti")
         found = stored(verified(last, texts, threshold), "links")
         if not found.isEmpty():
             labels = components(stored(links.union(found), "links"))
