@@ -225,3 +225,18 @@ def test_windows_leave_no_word_out():
     at = chaining.winnowed(hashes)
     assert at[0] < chaining.WINDOW and np.diff(at).max() <= chaining.WINDOW and len(chaining.winnowed(hashes[:0])) == 0
     assert plain_words(b"") == []
+
+
+def test_exact_passages_with_different_text_between(spark):
+    texts = []
+    for i, (n, gap, m) in enumerate([(60, 30, 60), (60, 50, 60), (60, 80, 60), (60, 120, 60), (300, 200, 60), (300, 400, 300)]):
+        one, two = (" ".join(f"{side}{i}x{k}" for k in range(size)) for side, size in (("p", n), ("q", m)))
+        texts += [" ".join([f"a{i}{k} b{i}{k}", one, *(f"g{i}{k}x{x}" for x in range(gap)), two, f"z{i}{k}"]) for k in (0, 1)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = chaining.passages(frame).collect()
+    covered = {i: set() for i in range(len(texts))}
+    for r in found:
+        assert r.identity >= chaining.IDENTITY and r.n_words >= chaining.LEAST and r.ref_doc_id == r.doc_id - 1
+        covered[r.doc_id].update(texts[r.doc_id][r.start : r.end].split())
+    for i in range(1, len(texts), 2):
+        assert {w for w in texts[i].split() if w[0] in "pq"} <= covered[i]
