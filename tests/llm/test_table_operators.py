@@ -240,3 +240,27 @@ def test_exact_passages_with_different_text_between(spark):
         covered[r.doc_id].update(texts[r.doc_id][r.start : r.end].split())
     for i in range(1, len(texts), 2):
         assert {w for w in texts[i].split() if w[0] in "pq"} <= covered[i]
+
+
+def test_passage_whose_parts_stand_in_earlier_documents(spark):
+    line = [f"l{i}" for i in range(25)]
+    own = [f"o{i}" for i in range(30)]
+    half = [[f"h{k}x{i}" for i in range(30)] for k in (0, 1)]
+    words = [line, half[0], half[1], line + own, line + own, line, half[0] + half[1], half[0], half[0] + half[1]]
+    texts = [" ".join([*(f"u{i}x{k}" for k in range(40)), *w, *(f"v{i}x{k}" for k in range(40))]) for i, w in enumerate(words)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {(r.doc_id, r.ref_doc_id, r.n_words) for r in chaining.passages(frame).collect()}
+    assert found == {(4, 3, 55), (8, 6, 60)}
+
+
+def test_earlier_occurrences_over_all_tasks(spark):
+    random.seed(4)
+    rows = sorted({(random.choice([1, 1, 1, 2, 3]), random.randrange(60), random.randrange(9)) for _ in range(400)})
+    before = {}
+    for seed, doc, at in rows:
+        other = [(d, a) for s, d, a in rows if s == seed and d < doc]
+        if other:
+            before[doc, at, seed] = max(other)
+    frame = spark.createDataFrame(rows, "seed bigint, doc bigint, at int").repartition(5)
+    found = sorted((r.doc, r.at, r.ref, r.place) for r in chaining._earlier(frame).collect())
+    assert found == sorted((d, a, *before[d, a, s]) for d, a, s in before)
