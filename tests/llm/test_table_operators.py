@@ -264,3 +264,19 @@ def test_earlier_occurrences_over_all_tasks(spark):
     frame = spark.createDataFrame(rows, "seed bigint, doc bigint, at int").repartition(5)
     found = sorted((r.doc, r.at, r.ref, r.place) for r in chaining._earlier(frame).collect())
     assert found == sorted((d, a, *before[d, a, s]) for d, a, s in before)
+
+
+@pytest.mark.parametrize("every", [10, 8, 6, 5])
+def test_passages_with_many_changed_words(spark, every):
+    random.seed(every)
+    texts, sizes = [], [55, 60, 80, 120] * 10
+    for i, n in enumerate(sizes):
+        words = [f"p{i}x{k}" for k in range(n)]
+        changed = words.copy()
+        for k in random.sample(range(1, n - 1), n // every):
+            changed[k] = f"c{i}x{k}"
+        texts += [" ".join([*(f"u{i}{j}x{k}" for k in range(80)), *w, *(f"v{i}{j}x{k}" for k in range(80))]) for j, w in enumerate((words, changed))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = chaining.passages(frame).collect()
+    assert all(r.ref_doc_id == r.doc_id - 1 and r.identity >= chaining.IDENTITY and r.n_words >= chaining.LEAST for r in found)
+    assert len({r.doc_id for r in found}) >= (0.95 if every > 5 else 0.8) * len(sizes)
