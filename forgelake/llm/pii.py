@@ -11,9 +11,10 @@ A network alternates between two parts of the value, the left one modulo ``a`` a
 one modulo ``b``; with ``a * b`` equal to the size of the domain every round, and so the
 whole, is a permutation.
 
-Kinds and their domains: ``card`` 13 to 19 digits, all but the last; ``date`` the days of one
+Kinds and their domains: ``card`` 13 to 19 digits, all but the last, as one or more neighbouring
+groups of a run of digits (longest first, each of a run's cards on its own); ``date`` the days of one
 400-year cycle (146097 = 189 * 773) of a date written ``2024-01-31`` or ``31.01.2024`` or
-``31/01/2024``; ``phone`` the digits after the country code; ``ip`` the 2**32 addresses;
+``31/01/2024``; ``phone`` the digits after the country code, with or without marks between; ``ip`` the 2**32 addresses;
 ``email`` the letters and digits before the @, each turned within its own alphabet by a keyed
 draw from the characters before it, which is a permutation too; the provider stays readable.
 
@@ -33,9 +34,14 @@ _PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\d/-]|\.\d)",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
-    "phone": r"(?<![\d+])\+\d{1,3}[ -](?:\(\d{2,4}\)|\d{2,4})(?:[ -]\d{2,4}){1,4}(?!\d)",
-    "card": r"(?<![\dA-Za-z])\d(?:[ -]?\d){12,18}(?![\dA-Za-z])",
+    "phone": r"(?<![\d+])\+(?:\d{1,3}[ -]?(?:\(\d{2,4}\)|\d{2,4})(?:[ -]?\d{2,4}){1,4}|\d{7,15})(?!\d)",
+    # A whole run of digit groups, among which cards are sought. It ends before what may begin
+    # a date, an address or an e-mail.
+    "card": r"(?<![\dA-Za-z])\d(?:(?![ -]\d{4}-\d{2}-\d{2}(?![\d/-]|\.\d))[\d -]){11,}\d(?![\dA-Za-z])"
+    r"(?!(?<=[ -]\d{2})[./]\d{2}[./]\d{4})(?!(?<=[ -]\d{1,3})(?:\.\d{1,3}){3})(?!(?<=[ -]\d{1,20})(?:[._%+-][A-Za-z0-9._%+-]{0,63})?@)",
 }
+# Country codes, for numbers written without a mark after them.
+_CODE = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 PATTERN = "|".join(_PATTERNS[k] for k in KINDS)
 
 
@@ -107,12 +113,55 @@ def _refilled(x: Column, digits: Column) -> Column:
     return F.aggregate(marks, start, step, lambda s: s["out"])
 
 
+def _valid_card(digits: Column) -> Column:
+    return (_digit_sum(digits, 1) % 10 == 0) & (digits.rlike("[1-9]"))
+
+
 def _card(x: Column, key: str) -> Column:
     digits = _only_digits(x)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
     new = permuted_digits(body, key, F.lit("card"))
-    valid = (_digit_sum(digits, 1) % 10 == 0) & (digits.rlike("[1-9]"))
-    return F.when(valid, _refilled(x, F.concat(new, check_digit(new))))
+    return F.when(_valid_card(digits), _refilled(x, F.concat(new, check_digit(new))))
+
+
+def _cards(x: Column, key: str) -> Column:
+    """A run of digit groups with its cards replaced, and their number. A card is one or
+    several neighbouring groups; of those that overlap the longest valid one counts."""
+    tokens = F.regexp_extract_all(x, F.lit(r"\d+|[ -]+"), F.lit(0))  # groups at even places
+    # As an element's variable the tokens are found once, not anew for each use.
+    return F.transform(F.array(tokens), lambda t: _cards_among(t, key))[0]
+
+
+def _cards_among(tokens: Column, key: str) -> Column:
+    last = F.call_function("div", F.size(tokens), F.lit(2)).cast("int")
+
+    def joined(a: Column, n: Column) -> Column:
+        return F.array_join(F.slice(tokens, a + 1, n), "")
+
+    def parts(i: Column) -> Column:
+        ends = F.sequence(i, F.least(i + 18, last))
+        texts = F.transform(ends, lambda j: F.struct(j.alias("j"), joined(i * 2, (j - i) * 2 + 1).alias("old")))
+        texts = F.filter(texts, lambda c: c["old"].rlike(r"^\d(?:[ -]?\d){12,18}$"))
+        texts = F.filter(texts, lambda c: _valid_card(_only_digits(c["old"])))
+        return F.transform(texts, lambda c: F.struct((-F.length(_only_digits(c["old"]))).alias("n"), i.alias("i"), c["j"].alias("j")))
+
+    ranked = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), last), parts)))
+    none = F.array().cast("array<struct<n:int,i:int,j:int>>")
+    apart = lambda c, d: (c["j"] < d["i"]) | (d["j"] < c["i"])
+    chosen = F.aggregate(ranked, none, lambda s, c: F.when(F.forall(s, lambda d: apart(c, d)), F.concat(s, F.array(c))).otherwise(s))
+    placed = F.array_sort(F.transform(chosen, lambda c: F.struct(c["i"].alias("i"), c["j"].alias("j"))))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("next"), F.lit(0).alias("n"))
+
+    def step(s: Column, c: Column) -> Column:
+        before = joined(s["next"], c["i"] * 2 - s["next"])
+        new = _card(joined(c["i"] * 2, (c["j"] - c["i"]) * 2 + 1), key)
+        return F.struct(F.concat(s["out"], before, new).alias("out"), (c["j"] * 2 + 1).alias("next"), (s["n"] + 1).alias("n"))
+
+    def finish(s: Column) -> Column:
+        whole = F.concat(s["out"], joined(s["next"], F.size(tokens) - s["next"]))
+        return F.struct(F.when(s["n"] > 0, whole).alias("new"), s["n"].alias("n"))
+
+    return F.aggregate(placed, start, step, finish)
 
 
 def _date(x: Column, key: str) -> Column:
@@ -146,6 +195,7 @@ def _ip(x: Column, key: str) -> Column:
 def _phone(x: Column, key: str) -> Column:
     digits = _only_digits(x)
     lead = F.length(F.regexp_extract(x, r"^\+(\d+)", 1))
+    lead = F.when(lead > 3, F.length(F.regexp_extract(x, _CODE, 1))).otherwise(lead)
     rest = F.substr(digits, lead + 1, F.length(digits) - lead)
     code = F.substr(digits, F.lit(1), lead)
     valid = F.length(digits).between(7, 15) & (F.length(rest) >= 4)
@@ -185,14 +235,15 @@ def kind_of(x: Column) -> Column:
 
 
 def pseudonym(x: Column, kind: Column, key: str) -> Column:
-    """The pseudonym of a match, or null if the match is not valid."""
-    return (
+    """The match with its values replaced (``new``), null if none is valid, and their number
+    (``n``); only a run of digit groups may hold several."""
+    one = (
         F.when(kind == "email", _email(x, key))
         .when(kind == "date", _date(x, key))
         .when(kind == "ip", _ip(x, key))
         .when(kind == "phone", _phone(x, key))
-        .otherwise(_card(x, key))
     )
+    return F.when(kind == "card", _cards(x, key)).otherwise(F.struct(one.alias("new"), F.lit(1).alias("n")))
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", found_col: str = "pii_found") -> DataFrame:
@@ -205,12 +256,13 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", found_
     )
     named = F.transform(
         F.col("_matches"),
-        lambda m: F.struct(m["old"].alias("old"), m["kind"].alias("kind"), pseudonym(m["old"], m["kind"], key).alias("new")),
+        lambda m: F.struct(m["old"].alias("old"), m["kind"].alias("kind"), pseudonym(m["old"], m["kind"], key).alias("made")),
     )
     between = F.split(text, PATTERN, -1)
-    ends = F.concat(F.transform(F.col("_named"), lambda m: F.coalesce(m["new"], m["old"])), F.array(F.lit("")))
+    ends = F.concat(F.transform(F.col("_named"), lambda m: F.coalesce(m["made"]["new"], m["old"])), F.array(F.lit("")))
     joined = F.array_join(F.flatten(F.transform(F.arrays_zip(between.alias("gap"), ends.alias("value")), lambda p: F.array(p["gap"], p["value"]))), "")
-    found = F.transform(F.filter(F.col("_named"), lambda m: m["new"].isNotNull()), lambda m: m["kind"])
+    replaced = F.filter(F.col("_named"), lambda m: m["made"]["new"].isNotNull())
+    found = F.flatten(F.transform(replaced, lambda m: F.array_repeat(m["kind"], m["made"]["n"])))
     columns = [c for c in docs.columns if c != found_col]
     named_rows = docs.select(*columns).withColumn("_matches", matches).withColumn("_named", named)
     new_text = F.when(F.size("_matches") > 0, joined).otherwise(text)

@@ -191,3 +191,19 @@ def test_unigram_models_take_the_best_path():
     for (left, *_), part, skip, over in zip(found, parts, [0, *behind], [*behind, 0]):
         out += encoder.ids(part[left + skip : left + 8 + over])
     assert out == encoder.ids(text)
+
+
+def test_cards_and_phones_beside_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 12/26", f"{card} 123", f"no 7 {card}", f"{card} 5500000000000004", f"{card} 2024-02-29", f"{card} 29.02.2024"]
+    texts += [f"{card} 10.20.30.40", f"{card} 34.b@x.org", "call +14155552671", "call +1 415 555 2671", "12345 " * 60 + card, "9" * 60000]
+    rows = pii.pseudonymise(docs(spark, *texts)).orderBy("doc_id").collect()
+    kinds = [["card"]] * 3 + [["card", "card"], ["card", "date"], ["card", "date"], ["card", "ip"], ["card", "email"], ["phone"], ["phone"]]
+    assert [r.pii_found for r in rows[:10]] == kinds
+    for row, text in list(zip(rows, texts))[:10]:
+        assert card not in row.text and "5500000000000004" not in row.text and "4155552671" not in row.text
+        assert re.sub(r"\d", "0", row.text)[:19] == re.sub(r"\d", "0", text)[:19]
+    new = pii.pseudonymise(docs(spark, card)).first().text
+    assert rows[0].text == f"{new} 12/26" and rows[2].text == f"no 7 {new}" and rows[4].text.startswith(f"{new} ")
+    assert re.sub(r"\D", "", rows[8].text) == re.sub(r"\D", "", rows[9].text) and rows[8].text.startswith("call +1")
+    assert card not in rows[10].text
