@@ -3,8 +3,8 @@
 A text is the vector of its byte n-grams (2 to 4 bytes within words, spaces at the edges),
 hashed to ``DIMS`` places, weighted by TF-IDF and normalised. Each language has several
 centroids, found by spherical k-means among its training texts. A text takes the language of
-the nearest centroid by cosine; if it is much farther from it than any training text of
-comparable length is from its own, it is rejected.
+the nearest centroid by cosine; if it is much farther from it than any training text, or
+beginning of one, of comparable length is from centroids learned without it, it is rejected.
 
 The classifier is fitted on a sample of about ``PER_LANGUAGE`` labelled texts of a language,
 those whose id's hash lies under the language's share; every other step covers all rows.
@@ -175,10 +175,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             empty = Model([], held.value, np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros(0))
             x = np.concatenate([empty.vectors(texts[a : a + 128]) for a in range(0, len(texts), 128)])
             centroids = kmeans(x)
-            nearest = (x @ centroids.T).max(axis=1)
-            classes = np.searchsorted(LENGTHS, [len(t) for t in texts])
-            lowest = [float(nearest[classes == c].min(initial=1.0)) for c in range(len(LENGTHS) + 1)]
-            lowest = [v if (classes == c).any() else None for c, v in enumerate(lowest)]
+            lowest = lowest_cosines(texts, x, empty)
             rows = [{"lang": key[0].as_py(), "centroid": c.tolist(), "lowest": lowest} for c in centroids]
         kinds = [("lang", pa.string()), ("centroid", pa.list_(pa.float32())), ("lowest", pa.list_(pa.float64()))]
         schema = pa.schema(kinds)
@@ -187,7 +184,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     found = sample.groupBy("lang").applyInArrow(cluster, "lang string, centroid array<float>, lowest array<double>").collect()
     found.sort(key=lambda r: (r["lang"], r["centroid"]))
     languages = sorted({r["lang"] for r in found})
-    # A class that no training text fell into rejects nothing.
+    # A class that no training text reached rejects nothing.
     floors = [min([v for r in found if (v := r["lowest"][c]) is not None], default=0.0) for c in range(len(LENGTHS) + 1)]
     return Model(
         languages,
@@ -198,6 +195,36 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     )
 
 
+def lowest_cosines(texts: list[bytes], x: np.ndarray, model: Model) -> list[float | None]:
+    """The lowest cosine by length class of texts, and of their beginnings, with centroids
+    learned without them; every class that a text reaches is measured on all of these."""
+    lowest: list[float | None] = [None] * (len(LENGTHS) + 1)
+    part = np.arange(len(texts)) % FOLDS
+    for fold in range(FOLDS if len(texts) > 1 else 0):
+        mine = np.flatnonzero(part == fold)
+        if not len(mine):
+            continue
+        centroids = kmeans(x[part != fold])
+        probes = [p for i in mine for p in beginnings(texts[i])]
+        for a in range(0, len(probes), 128):
+            some = probes[a : a + 128]
+            nearest = (model.vectors(some) @ centroids.T).max(axis=1)
+            for text, cosine in zip(some, nearest):
+                c = int(np.searchsorted(LENGTHS, len(text)))
+                lowest[c] = min(float(cosine), 1.0 if lowest[c] is None else lowest[c])
+    return lowest
+
+
+def beginnings(text: bytes) -> list[bytes]:
+    """The text and its first words of each shorter length class, if they have letters."""
+    out = {text}
+    for limit in LENGTHS:
+        cut = text.rfind(b" ", 0, limit + 1) if len(text) > limit else 0
+        if cut > 0:
+            out.add(text[:cut])
+    return sorted(t for t in out if has_letter(t))
+
+
 def kmeans(x: np.ndarray, k: int = CENTROIDS, steps: int = STEPS) -> np.ndarray:
     """Spherical k-means; the first centres are far apart, the first of all is the mean's
     nearest row. Few rows give fewer centroids."""

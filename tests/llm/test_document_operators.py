@@ -207,3 +207,12 @@ def test_cards_and_phones_beside_other_digits(spark):
     assert rows[0].text == f"{new} 12/26" and rows[2].text == f"no 7 {new}" and rows[4].text.startswith(f"{new} ")
     assert re.sub(r"\D", "", rows[8].text) == re.sub(r"\D", "", rows[9].text) and rows[8].text.startswith("call +1")
     assert card not in rows[10].text
+
+
+def test_held_out_short_documents_stay(spark):
+    labelled = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").where("lang IS NOT NULL")
+    model = langid.fit(labelled)
+    texts = [r.text.encode() for r in labelled.where(langid.remainder() == 0).collect() if r.text]
+    texts = [t for t in texts if langid.has_letter(t)]
+    assert any(len(t) <= langid.LENGTHS[0] for t in texts) and not any(rejected for _, _, rejected in model.predict(texts))
+    assert all(rejected for _, _, rejected in model.predict([b"xq " * 300, "漢字仮名".encode() * 40]))
