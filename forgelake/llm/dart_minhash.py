@@ -45,7 +45,7 @@ from forgelake.llm.textblocks import FOLD, U64, mix, raw_texts, shingles_of, sli
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
-NEAR = (1, 2)  # distances of the bands that are paired
+NEAR = (1, 2, 3, 4)  # distances of the bands that are paired
 _UNIT = 1 << 18  # bytes of text whose darts are thrown together
 _NEXT = 0x9E3779B97F4A7C15
 

@@ -280,3 +280,15 @@ def test_passages_with_many_changed_words(spark, every):
     found = chaining.passages(frame).collect()
     assert all(r.ref_doc_id == r.doc_id - 1 and r.identity >= chaining.IDENTITY and r.n_words >= chaining.LEAST for r in found)
     assert len({r.doc_id for r in found}) >= (0.95 if every > 5 else 0.8) * len(sizes)
+
+
+def test_pairs_at_the_threshold_share_a_bucket():
+    """As many are missed as the docstring says: some 1e-4."""
+    rng, n, k = np.random.default_rng(6), 100_000, dart_minhash.BANDS * dart_minhash.ROWS
+    missed = 0
+    for _ in range(5):
+        one = rng.integers(0, 1 << 62, (n // 5, k)).astype(np.uint64)
+        two = np.where(rng.random(one.shape) < dart_minhash.THRESHOLD, one, one + np.uint64(1))
+        a, b = (dart_minhash.bucket_hashes(x, dart_minhash.BANDS, dart_minhash.ROWS) for x in (one, two))
+        missed += int((~(a == b).any(axis=1)).sum())
+    assert missed < 3e-4 * n
