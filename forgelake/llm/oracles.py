@@ -114,3 +114,58 @@ SELECT page_id, host, path, rule, CASE
   WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END AS verdict
 FROM r
 """
+
+ORACLE["op11_fill_in_middle"] = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), d AS (
+  SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM t
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+), p AS (SELECT *, substr(t, 1, a) AS x, substr(t, a + 1, b - a) AS y, substr(t, b + 1) AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(y) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+    ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def _lloyd(rounds: int) -> str:
+    """Rounds of assignment and means as a chain of tables."""
+    parts = ["""WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, vec_id, label, v FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)
+), x AS MATERIALIZED (
+  SELECT r, p, s, list_dot_product(s, s) AS ss FROM (
+    SELECT r, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS s FROM v, range(4) t(p))
+), c0 AS MATERIALIZED (SELECT p, r - 1 AS e, s AS c FROM x WHERE r <= 256)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, p, best[1] AS d, best[2] AS e FROM (
+    SELECT r, x.p, min([ss - 2 * list_dot_product(s, c) + list_dot_product(c, c), CAST(e AS DOUBLE)]) AS best
+    FROM x JOIN c{i} ON x.p = c{i}.p GROUP BY r, x.p))""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.p, c{i}.e, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+    SELECT p, e, list(floor(total / n) ORDER BY k) AS c FROM (
+      SELECT p, e, k, sum(y) AS total, count(*) AS n FROM (
+        SELECT x.p, CAST(e AS BIGINT) AS e, unnest(s) AS y, unnest(range(len(s))) AS k FROM x JOIN a{i} ON x.r = a{i}.r AND x.p = a{i}.p)
+      GROUP BY p, e, k) GROUP BY p, e) m ON c{i}.p = m.p AND c{i}.e = m.e)""")
+    return ",\n".join(parts) + f""",
+named AS (
+  SELECT r, string_agg(lower(format('{{:02x}}', CAST(e AS BIGINT))), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r
+), books AS (
+  SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, k)) AS h
+  FROM (SELECT p, e, unnest(c) AS y, unnest(range(len(c))) AS k FROM c{rounds})
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM v JOIN named USING (r), books
+"""
+
+
+ORACLE["op13_dual_tree_lloyd"] = _lloyd(4)

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm import chaining, dart_minhash, decontaminate, langid, pieces, pii, secrets, topk, url_cascade, warc
+from forgelake.llm import chaining, dart_minhash, decontaminate, dual_tree, fim, langid, pieces, pii, secrets, topk, url_cascade, warc
 from forgelake.llm.tables import shipped, table
 from forgelake.settings import scratch_dir
 
@@ -96,3 +96,17 @@ def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.passages(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query
+def op13_dual_tree_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    books = dual_tree.fit(vectors)
+    coded = dual_tree.encode(vectors, books).drop("embedding")
+    digest = F.lit(books.sha256()).alias("codebooks_sha256")
+    return dual_tree.with_label_errors(coded).select("vec_id", "code", "error", "label_error", digest)

@@ -26,6 +26,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discarded(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote, after the last job that reads them."""
+    for df in tables:
+        hadoop = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs  # DataFrames cannot delete files
+        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            path = hadoop.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Column names that clash with none of ``taken``, in any case."""
+    used = {c.lower() for c in taken}
+    found = []
+    for name in wanted:
+        while name.lower() in used:
+            name = f"{name}_"
+        used.add(name.lower())
+        found.append(name)
+    return found
+
+
 def shipped(spark: SparkSession) -> None:
     """Give the package to the executors' Python once per application, as ``--py-files``
     would, for sessions that were not started with it."""
