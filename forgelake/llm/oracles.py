@@ -169,3 +169,27 @@ FROM v JOIN named USING (r), books
 
 
 ORACLE["op13_dual_tree_lloyd"] = _lloyd(4)
+
+ORACLE["op12_group_join"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, len(w) - least(4, len(w)) + 2), lambda i: array_to_string(w[i:i + least(4, len(w)) - 1], ' ')))) AS s
+  FROM w WHERE len(w) > 0
+), copies AS MATERIALIZED (SELECT min(doc_id) AS node, s, list(doc_id) AS ids FROM s GROUP BY s),
+x AS MATERIALIZED (SELECT node, len(s) AS n, unnest(s) AS g FROM copies),
+f AS MATERIALIZED (SELECT g, count(*) AS df FROM x GROUP BY g HAVING count(*) > 1),
+prefix AS MATERIALIZED (
+  SELECT node, n, g FROM (SELECT node, n, x.g, coalesce(df, 1) AS df, row_number() OVER (PARTITION BY node ORDER BY coalesce(df, 1), x.g) AS k
+    FROM x LEFT JOIN f USING (g)) WHERE k <= n - (85 * n + 99) // 100 + 1 AND df > 1
+), pairs AS MATERIALIZED (
+  SELECT DISTINCT a.node AS a, b.node AS b FROM prefix a JOIN prefix b ON a.g = b.g AND a.node < b.node AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+), links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT a, b, len(list_intersect(x.s, y.s)) AS o, len(x.s) AS n, len(y.s) AS m
+    FROM pairs JOIN copies x ON a = x.node JOIN copies y ON b = y.node) WHERE 100 * o >= 85 * (n + m - o)
+), edges AS MATERIALIZED (
+  SELECT a, b FROM links UNION SELECT b, a FROM links UNION SELECT node, unnest(ids) FROM copies UNION SELECT unnest(ids), node FROM copies
+), reach AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a)
+SELECT d.doc_id, coalesce(any_value(len(s.s)), 0) AS n_shingles, coalesce(min(other), d.doc_id) AS component_id
+FROM documents d LEFT JOIN s ON d.doc_id = s.doc_id LEFT JOIN reach r ON d.doc_id = r.doc_id GROUP BY d.doc_id
+"""

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm import chaining, dart_minhash, decontaminate, dual_tree, fim, langid, pieces, pii, secrets, topk, url_cascade, warc
+from forgelake.llm import chaining, dart_minhash, decontaminate, dual_tree, fim, group_join, langid, pieces, pii, secrets, topk, url_cascade, warc
 from forgelake.llm.tables import shipped, table
 from forgelake.settings import scratch_dir
 
@@ -110,3 +110,8 @@ def op13_dual_tree_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = dual_tree.encode(vectors, books).drop("embedding")
     digest = F.lit(books.sha256()).alias("codebooks_sha256")
     return dual_tree.with_label_errors(coded).select("vec_id", "code", "error", "label_error", digest)
+
+
+@query
+def op12_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_join.classes(table(spark, sf_dir, "documents", "doc_id", "text"))

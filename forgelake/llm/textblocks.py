@@ -89,20 +89,21 @@ class Words:
         return np.searchsorted(self.rows, np.arange(n_rows + 1))
 
 
-def _pieces(text: bytes) -> Iterator[tuple[int, bytes]]:
+def _pieces(text: bytes, fold: bytes = FOLD) -> Iterator[tuple[int, bytes]]:
     """A long text cut before bytes that are in no word, else whole."""
     a = 0
     while len(text) - a > _BLOCK:
         b = a + _BLOCK
-        while b < len(text) and FOLD[text[b]] != SPACE:
+        while b < len(text) and fold[text[b]] != SPACE:
             b += 1
         yield a, text[a:b]
         a = b
     yield a, text[a:]
 
 
-def words_of(texts: list[bytes | None]) -> Words:
-    """The words of all texts; a null or empty text has none."""
+def words_of(texts: list[bytes | None], fold: bytes = FOLD) -> Words:
+    """The words of all texts; a null or empty text has none. ``fold`` maps bytes to folded
+    ones and to spaces."""
     found: list[tuple[np.ndarray, ...]] = []
     buffer: list[tuple[int, int, bytes]] = []
     held = 0
@@ -111,7 +112,7 @@ def words_of(texts: list[bytes | None]) -> Words:
         nonlocal held
         if not buffer:
             return
-        data = np.frombuffer(b" ".join(p for _, _, p in buffer).translate(FOLD) + b" ", np.uint8)
+        data = np.frombuffer(b" ".join(p for _, _, p in buffer).translate(fold) + b" ", np.uint8)
         inside = data != SPACE
         edges = np.flatnonzero(np.diff(inside, prepend=False))
         starts, ends = edges[::2], edges[1::2]
@@ -127,7 +128,7 @@ def words_of(texts: list[bytes | None]) -> Words:
     for row, text in enumerate(texts):
         if not text:
             continue
-        for offset, piece in _pieces(text):
+        for offset, piece in _pieces(text, fold):
             buffer.append((row, offset, piece))
             held += len(piece)
             if held >= _BLOCK:
