@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.llm.components import components
-from forgelake.llm.tables import discarded, stored
+from forgelake.llm.tables import stored
 from forgelake.llm.textblocks import SPACE, raw_texts, shingles_of, slices, words_of
 
 WORDS, PERCENT = 4, 85
@@ -318,7 +318,7 @@ def classes(
     sizes = base.where("n > 0").groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("rows"))
     keys = stored(sizes, "set-keys")
     prefixes = prefixed(base, percent).join(keys.select(F.col("head").alias("node")), "node", "left_semi")
-    groups, members = groups_of(prefixes)
+    groups, members = groups_of(stored(prefixes, "prefixes"))
     groups, members = stored(groups, "groups"), stored(members, "group-members")
 
     lists = groups.select("group", "n", "own", "members", F.posexplode("first").alias("at", "entry"))
