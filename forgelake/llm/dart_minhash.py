@@ -46,7 +46,7 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 NEAR = (1, 2, 3, 4)  # distances of the bands that are paired
-_UNIT = 1 << 18  # bytes of text whose darts are thrown together
+_UNIT, _UNIT_ROWS = 1 << 18, 256  # bytes and rows of text whose darts are thrown together
 _NEXT = 0x9E3779B97F4A7C15
 
 
@@ -130,15 +130,16 @@ def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("buckets", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", _UNIT):
+        for batch in slices(batches, "text", _UNIT, _UNIT_ROWS):
             texts = raw_texts(batch, "text")
             shingles = shingles_of(words_of(texts), len(texts), WORDS)
             elements, owners, weights = weighted(*shingles)
             signature = signatures(elements, owners, weights, len(texts), bands * rows)
             found = bucket_hashes(signature, bands, rows)
             has = np.bincount(owners, minlength=len(texts)) > 0
-            lists = [f.tolist() if h else [] for f, h in zip(found, has)]
-            columns = [batch.column("doc_id"), pa.array([_sequence_key(t) for t in texts], pa.binary()), pa.array(lists, schema.field("buckets").type)]
+            ends = np.cumsum([0, *np.where(has, found.shape[1], 0)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found[has].ravel()))
+            columns = [batch.column("doc_id"), pa.array([_sequence_key(t) for t in texts], pa.binary()), lists]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")

@@ -37,12 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forgelake.llm.tables import stored
+from forgelake.llm.tables import free_names, stored
 from forgelake.llm.textblocks import slices
 
 CHUNK_CHARS = 1 << 16
 SPACE = "▁"
-_REMEMBERED = 600_000
+_REMEMBERED = 24 << 20  # bytes of remembered segments, about; as many more until they fall out of use
+_FITS = 100_000
+_DECODED = 256  # rows decoded together
+_UNIT = 1 << 20  # bytes of text encoded together
 _TABLE = 1 << 20
 
 
@@ -109,7 +112,10 @@ def load(path: str) -> Vocabulary:
 class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
+        # Segments in use lately, and those of the generation before.
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.held = 0
         self.fits: dict[tuple[str, str], bool] = {}
         self.floor = min(vocabulary.scores.values(), default=0.0) - 10
 
@@ -186,9 +192,14 @@ class Encoder:
         for segment in [text[a:b] for a, b in zip(bounds, bounds[1:])]:
             ids = known.get(segment)
             if ids is None:
-                if len(known) >= _REMEMBERED:
-                    known.clear()
-                ids = known[segment] = tuple([x for p in self.split(segment) for x in self.piece_ids(p)])
+                ids = self.older.get(segment)
+                if ids is None:
+                    ids = tuple([x for p in self.split(segment) for x in self.piece_ids(p)])
+                if self.held >= _REMEMBERED:
+                    self.older, self.known, self.held = known, {}, 0
+                    known = self.known
+                known[segment] = ids
+                self.held += 220 + len(segment) + 8 * len(ids)
             out += ids
         return out
 
@@ -223,7 +234,7 @@ class Encoder:
             return True
         fits = self.fits.get((a, b))
         if fits is None:
-            if len(self.fits) >= _REMEMBERED:
+            if len(self.fits) >= _FITS:
                 self.fits.clear()
             fits = self.fits[a, b] = self.split(a + b) == [a, b]
         return fits
@@ -336,35 +347,50 @@ def _chunked(giants: DataFrame, chunk_chars: int, margin: int) -> DataFrame:
     return rows.select("key", "chunk", "chunks", before.alias("margin"), body.alias("body"), text.alias("text"))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "token_ids", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``docs`` with the ids of their texts."""
+def encode(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    text_col: str = "text",
+    ids_col: str = "token_ids",
+    chunk_chars: int = CHUNK_CHARS,
+    decoded_col: str | None = None,
+) -> DataFrame:
+    """``docs`` with the ids of their texts and, as ``decoded_col``, the texts of these ids: the
+    worker that encodes a text decodes it too."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(vocabulary)
-    columns = [c for c in docs.columns if c != ids_col]
+    added = [ids_col] if decoded_col is None else [ids_col, decoded_col]
+    columns = [c for c in docs.columns if c not in added]
     size = F.length(text_col)
     ordinary = docs.select(*columns).where(size.isNull() | (size <= chunk_chars))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in ordinary.schema]).add(ids_col, T.ArrayType(T.IntegerType()))
+    if decoded_col is not None:
+        schema = schema.add(decoded_col, "string")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(held.value)
         start = SPACE if encoder.v.prefix else ""
-        for batch in slices(batches, text_col):
+        raw = _raw_pieces(held.value) if decoded_col is not None else None
+        for batch in slices(batches, text_col, _UNIT):
             found = [
                 None if t is None else encoder.ids(start + t.replace(" ", SPACE)) if t else []
                 for t in batch.column(text_col).to_pylist()
             ]
             arrays = [*batch.columns, pa.array(found, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, ids_col])
+            if raw is not None:
+                arrays.append(_decoded(arrays[-1], raw, encoder.v.prefix))
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     small = ordinary.mapInArrow(whole, schema)
 
     # Giant texts: the rows are stored once under a key, as their order decides it.
-    giants = docs.select(*columns).where(size > chunk_chars).withColumn("_key", F.monotonically_increasing_id())
+    key, = free_names([*docs.columns, *added], "key")
+    giants = docs.select(*columns).where(size > chunk_chars).withColumn(key, F.monotonically_increasing_id())
     giants = stored(giants, "giant-texts")
     if giants.isEmpty():
         return small
     normal = F.translate(F.col(text_col), " ", SPACE)
-    texts = giants.select(F.col("_key").alias("key"), (F.concat(F.lit(SPACE), normal) if vocabulary.prefix else normal).alias("text"))
+    texts = giants.select(F.col(key).alias("key"), (F.concat(F.lit(SPACE), normal) if vocabulary.prefix else normal).alias("text"))
     # Twice the longest piece: a state at a cut may begin or end that far away, and its
     # neighbours as well.
     spread = _chunked(texts, chunk_chars, 2 * vocabulary.longest).repartition("key", "chunk")
@@ -414,12 +440,32 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_
                 a = row["margin"] + row["skip"]
                 b = row["margin"] + row["body"] + row["over"]
                 ids = pa.array([encoder.ids(row["text"][a:b])], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array([row["key"]]), pa.array([row["chunk"]], pa.int32()), ids], names=["_key", "chunk", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["key"]]), pa.array([row["chunk"]], pa.int32()), ids], names=["key", "chunk", "ids"])
 
-    parts = work.mapInArrow(backtrace, "_key bigint, chunk int, ids array<int>")
-    joined = parts.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-    joined = joined.select("_key", F.flatten(F.col("parts.ids")).alias(ids_col))
-    return small.unionByName(giants.join(joined, "_key").select(*columns, ids_col))
+    parts = work.mapInArrow(backtrace, "key bigint, chunk int, ids array<int>")
+    joined = parts.groupBy(F.col("key").alias(key)).agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
+    joined = joined.select(key, F.flatten(F.col("parts.ids")).alias(ids_col))
+    large = giants.join(joined, key).select(*columns, ids_col)
+    return small.unionByName(large if decoded_col is None else decode(large, vocabulary, ids_col, decoded_col))
+
+
+def _raw_pieces(vocabulary: Vocabulary) -> pa.Array:
+    return pa.array(vocabulary.raw, pa.large_binary())
+
+
+def _decoded(column: pa.Array, raw: pa.Array, drop: bool) -> pa.Array:
+    """The texts of lists of ids. The pieces of all rows in a row: their bytes are the texts."""
+    texts = []
+    taken = raw.take(column.flatten())
+    data = (taken.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    sizes = np.where(known, np.diff(column.offsets.to_numpy()), 0)
+    last = np.cumsum(sizes)
+    for ok, a, b in zip(known.tolist(), ends[last - sizes].tolist(), ends[last].tolist()):
+        text = data[a:b].decode("utf-8", "replace") if ok else None
+        texts.append(text[1:] if text and drop and text[0] == " " else text)
+    return pa.array(texts, pa.string())
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
@@ -429,19 +475,11 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "token_ids", ou
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema]).add(out_col, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, drop = pa.array(held.value.raw, pa.large_binary()), held.value.prefix
-        for batch in batches:
-            column, texts = batch.column(ids_col), []
-            # The pieces of all rows in a row: their bytes are the decoded texts.
-            taken = raw.take(column.flatten())
-            data = (taken.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
-            ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
-            known = column.is_valid().to_numpy(zero_copy_only=False)
-            sizes = np.where(known, np.diff(column.offsets.to_numpy()), 0)
-            last = np.cumsum(sizes)
-            for ok, a, b in zip(known.tolist(), ends[last - sizes].tolist(), ends[last].tolist()):
-                text = data[a:b].decode("utf-8", "replace") if ok else None
-                texts.append(text[1:] if text and drop and text[0] == " " else text)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
+        raw = _raw_pieces(held.value)
+        for whole in batches:
+            for a in range(0, whole.num_rows, _DECODED):
+                batch = whole.slice(a, _DECODED)
+                arrays = [*batch.columns, _decoded(batch.column(ids_col), raw, held.value.prefix)]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return kept.mapInArrow(run, schema)

@@ -41,8 +41,7 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = pieces.load(PIECES_MODEL)
-    encoded = pieces.encode(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary)
-    decoded = pieces.decode(encoded, vocabulary)
+    decoded = pieces.encode(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary, decoded_col="decoded")
     return decoded.select(
         "doc_id",
         "token_ids",

@@ -160,14 +160,14 @@ def shingles_of(words: Words, n_rows: int, width: int) -> tuple[np.ndarray, np.n
     return hashes, rows
 
 
-def slices(batches, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Record batches cut so that ``column`` holds about ``limit`` bytes in each; a longer
-    text stands alone."""
+def slices(batches, column: str, limit: int = 4 << 20, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Record batches cut so that ``column`` holds about ``limit`` bytes in each, and ``rows`` rows
+    at most; a longer text stands alone."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         a, held = 0, 0
         for i, size in enumerate(sizes):
-            if i > a and held + size > limit:
+            if i > a and (held + size > limit or i - a >= rows):
                 yield batch.slice(a, i - a)
                 a, held = i, 0
             held += int(size)
