@@ -42,7 +42,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pieces of the documents, and whether they decode to the text."""
     shipped(spark)
     vocabulary = pieces.load(PIECES_MODEL)
-    decoded = pieces.decode(pieces.encode(docs.select(*DOCUMENTS), vocabulary), vocabulary)
+    decoded = pieces.encode(docs.select(*DOCUMENTS), vocabulary, decoded_col="decoded")
     return decoded.select(
         "doc_id",
         "lang",
