@@ -15,11 +15,10 @@ elements there are; texts with empty coordinates are thrown at again up to twice
 Candidates: texts of equal word sequence are one node, represented by the smallest id. Nodes
 that agree in two near bands of the signature form a bucket: eight agreeing coordinates keep
 texts apart that merely share a passage, and as the pairs of bands are many a pair at the
-threshold is missed with a probability of some 1e-4. (1) Every node is compared with the most
-central node of its buckets, the one with most neighbours in all of its own: among copies with
-changes of their own that is the one with the fewest. (2) What then still lies in different
-classes of a bucket is compared pair by pair, so that no candidate is lost. The first step is
-linear in a bucket and leaves little to the second in a group of copies, however large.
+threshold is missed with a probability of some 1e-4. Nodes of a short bucket are compared pair
+by pair. Those of longer ones are dealt to tiles, which meet once if they share a bucket, and
+all pairs of two tiles are counted at once: a group of copies, or many texts with a passage in
+common that are not alike, give rows in proportion to their number, not to its square.
 
 Defined cases. A null text is similar to nothing. Texts without words are alike if they are
 equal. Rows without id have no class and are not linked. Rows of one id are one document: the
@@ -35,11 +34,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgelake.llm.components import components
-from forgelake.llm.tables import stored
+from forgelake.llm.tables import discarded, free_names, stored
+from forgelake.llm.tiles import fill_tiles, tile_links
 from forgelake.llm.textblocks import FOLD, U64, mix, raw_texts, shingles_of, slices, words_of
 
 WORDS = 5
@@ -48,6 +48,9 @@ BANDS, ROWS = 32, 4
 NEAR = (1, 2, 3, 4)  # distances of the bands that are paired
 _UNIT, _UNIT_ROWS = 1 << 18, 256  # bytes and rows of text whose darts are thrown together
 _NEXT = 0x9E3779B97F4A7C15
+_SHORT = 4  # nodes of a bucket that are paired directly
+_TILE = 512  # nodes in a tile, about
+_SALTS = 16
 
 
 def weighted(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,8 +129,8 @@ def _sequence_key(text: bytes) -> bytes:
 
 
 def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``doc_id, key, buckets`` of the documents with id and text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("buckets", pa.list_(pa.int64()))])
+    """``doc_id, key, n, buckets`` of the documents with id and text, ``n`` being the total weight."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("buckets", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", _UNIT, _UNIT_ROWS):
@@ -139,11 +142,12 @@ def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             has = np.bincount(owners, minlength=len(texts)) > 0
             ends = np.cumsum([0, *np.where(has, found.shape[1], 0)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found[has].ravel()))
-            columns = [batch.column("doc_id"), pa.array([_sequence_key(t) for t in texts], pa.binary()), lists]
+            columns = [batch.column("doc_id"), pa.array([_sequence_key(t) for t in texts], pa.binary())]
+            columns += [pa.array(np.bincount(owners, weights, len(texts)).astype(np.int64)), lists]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    return narrow.mapInArrow(run, "doc_id bigint, key binary, buckets array<bigint>")
+    return narrow.mapInArrow(run, "doc_id bigint, key binary, n bigint, buckets array<bigint>")
 
 
 def similarity(a: bytes, b: bytes) -> float:
@@ -173,58 +177,77 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def weighted_sets(texts: DataFrame) -> DataFrame:
+    """``node, n, shingles``: an element of weight w as w elements, so that the intersection of two
+    sets is the sum of the smaller weights."""
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", _UNIT):
+            texts = raw_texts(batch, "text")
+            elements, owners, weights = weighted(*shingles_of(words_of(texts), len(texts), WORDS))
+            times = weights.astype(np.int64)
+            place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            units = mix(np.repeat(elements, times) + place.astype(U64) * U64(_NEXT)).view(np.int64)
+            ends = np.searchsorted(np.repeat(owners, times), np.arange(len(texts) + 1))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(units))
+            arrays = [batch.column("node"), pa.array(np.diff(ends)), lists]
+            yield pa.RecordBatch.from_arrays([a.cast(k) for a, k in zip(arrays, kinds)], names=["node", "n", "shingles"])
+
+    return texts.mapInArrow(run, "node bigint, n bigint, shingles array<bigint>")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, class_id``: one row per document with text, the class being named by its
     smallest id."""
     sig = stored(signed(docs, bands, rows), "signatures")
-    nodes = sig.groupBy("key").agg(F.min("doc_id").alias("node"))
-    members = stored(sig.select("doc_id", "key").join(nodes, "key").select("doc_id", "node").distinct(), "members")
-    heads = sig.join(nodes.select(F.col("node").alias("doc_id"), "key"), ["doc_id", "key"])
-    places = heads.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("node")).distinct()
+    keys = stored(sig.groupBy("key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows")), "nodes")
+    heads = sig.join(keys.select(F.col("node").alias("doc_id"), "key"), ["doc_id", "key"])
+    places = heads.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("node"), "n").distinct()
     places = stored(places, "bucket-places")
-    sizes = places.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = places.groupBy("bucket").agg(F.count("*").alias("nodes")).where("nodes > 1")
     shared = stored(places.join(sizes, "bucket"), "buckets")
-
-    # The texts that take part in any comparison, once. Rows of one id may differ in text:
-    # the node's own is the one of its key, and any of equal key will do.
-    wanted = shared.select(F.col("node").alias("doc_id")).distinct()
+    members = stored(_members(sig.select("doc_id", "key").distinct(), keys), "members")
+    discarded(sig, places)
+
+    short = shared.where(F.col("nodes") <= _SHORT).select("bucket", "node", "n")
+    other = short.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"))
+    pairs = short.join(other, "bucket").where(F.col("node") < F.col("b"))
+    pairs = pairs.where(F.least("n", "m") >= F.greatest("n", "m") * (threshold - 1e-9))
+    pairs = stored(pairs.select(F.col("node").alias("a"), "b").distinct(), "pairs")
+    crowd = F.max(F.struct("nodes", "bucket")).alias("crowd")
+    dealt = shared.where(F.col("nodes") > _SHORT).groupBy("node", "n").agg(crowd, F.collect_set("bucket").alias("lists"))
+    dealt = dealt.select("node", "n", "lists", F.col("crowd.bucket").alias("crowd"))
+    tiles = stored(fill_tiles(dealt, _TILE), "tiled-nodes")
+    discarded(shared)
+
+    # The texts that take part in any comparison, once. Rows of one id may differ in text; they
+    # are one document, so any of its texts may tie it to another.
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(tiles.select("node")).distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL")
     texts = stored(texts.join(wanted, "doc_id", "left_semi").distinct(), "candidate-texts")
+    in_tiles = texts.join(tiles.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = weighted_sets(in_tiles.select(F.col("doc_id").alias("node"), "text"))
 
     # Rows of one id with different texts tie their nodes together.
     ties = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
     ties = members.join(ties, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
-
-    def ordered(a, b) -> list:
-        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-    central = shared.groupBy("node").agg(F.sum("n").alias("weight"))
-    heads = shared.join(central, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("head"))
-    tried = shared.join(heads, "bucket").where("node <> head.node").select(*ordered("node", "head.node"))
-    tried = stored(tried.distinct(), "pairs")
-    links = stored(verified(tried, texts, threshold).union(ties), "links")
-
-    def mixed(labels: DataFrame) -> DataFrame:
-        """Places of buckets that hold several classes."""
-        named = shared.select("bucket", "node").join(labels.withColumnRenamed("label", "named"), "node", "left")
-        named = named.withColumn("label", F.coalesce("named", "node")).drop("named")
-        spread = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        return named.join(spread.where("low < high").drop("low", "high"), "bucket")
-
+    links = verified(pairs, texts, threshold).union(tile_links(tiles, sets, threshold * 100)).union(ties)
     labels = components(links)
-    places = stored(mixed(labels), "mixed")
-    if not places.isEmpty():
-        other = places.select("bucket", F.col("node").alias("other"), F.col("label").alias("other_label"))
-        last = places.join(other, "bucket").where("label < other_label")
-        last = last.select(*ordered("node", "other")).distinct().join(tried, ["a", "b"], "left_anti")
-        found = stored(verified(last, texts, threshold), "links")
-        if not found.isEmpty():
-            labels = components(stored(links.union(found), "links"))
-
+    discarded(pairs, tiles, texts)
     named = members.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"))
     return named.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 
 
+def _members(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``doc_id, node`` of all rows. Only keys of several rows are looked up, spread by a salt, as
+    one text may be a third of all rows."""
+    several = keys.where("rows > 1").select("key", "node", F.explode(F.array(*map(F.lit, range(_SALTS)))).alias("salt"))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).cast("int"))
+    found = dealt.join(several, ["key", "salt"], "left")
+    return found.select("doc_id", F.coalesce("node", "doc_id").alias("node")).distinct()
+
+
 def report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: its class, and whether it is the one that stays. A document
     whose text is null is a class of its own."""
@@ -236,9 +259,12 @@ def report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def drop_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, the one of the smallest id; rows without id all stay. Of
-    several rows of one id one stays."""
+    several rows of one id, one document, the one stays whose columns hash lowest, ties falling
+    to equal rows, so that every run keeps the same."""
     found = classes(docs, threshold)
     gone = found.where("doc_id <> class_id").select("doc_id")
     kept = docs.join(gone, docs["doc_id"].cast("bigint") == gone["doc_id"], "left_anti")
-    named = kept.where("doc_id IS NOT NULL")
-    return named.dropDuplicates(["doc_id"]).union(kept.where("doc_id IS NULL"))
+    rank, = free_names(docs.columns, "rank")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns), *docs.columns)
+    named = kept.where("doc_id IS NOT NULL").withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return named.drop(rank).union(kept.where("doc_id IS NULL"))

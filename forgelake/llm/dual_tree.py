@@ -3,7 +3,7 @@
 A vector of integers is cut into ``parts`` nearly equal consecutive parts, and each part position
 has a codebook; a vector's code names the nearest entry of each. The codebooks start as
 the parts of the first vectors and move to the mean of what is assigned to them, rounded down,
-for a number of rounds. All distances and means are exact integers.
+for a number of rounds. All distances and means are exact: doubles are used for integers they hold.
 
 Trees. The vectors are written once as blocks of up to ``_BLOCK`` rows whose parts stand in
 the order of a balanced tree (halved along the widest side), so that the tree needs no more
@@ -15,7 +15,7 @@ whole by its cached sum; leaves that stay uncertain are settled by integer dista
 
 One round is one Spark job: tasks walk their blocks and add up per entry, Spark adds the sums
 of the tasks, and the driver holds just the codebooks, ``entries`` times the vectors'
-length. Numbers too large for 64 bits are carried as Python integers and their sums as limbs.
+length. Numbers too large for that are carried as Python integers and their sums as limbs.
 
 Defined cases. Rows whose vector is null or holds a null or non-finite component take no part,
 also where scaling makes one infinite, and neither do rows whose vectors differ in length
@@ -73,25 +73,36 @@ def taking_part(df: DataFrame, vector_col: str, scale: float = SCALE) -> DataFra
     return df.where(F.col(vector_col).isNotNull() & ~F.coalesce(bad, F.lit(True)))
 
 
+def exact(most: float, width: int) -> bool:
+    """Whether doubles hold all sums of squares of doubled differences of such whole numbers."""
+    return max(width, 1) * (4 * most) ** 2 < 2.0**52
+
+
 def integers(values: np.ndarray) -> np.ndarray:
-    """Whole doubles as 64-bit integers where squared distances fit, else Python's own."""
-    most = float(np.abs(values).max(initial=0.0))
-    if (values.shape[-1] or 1) * (2 * most) ** 2 < 2.0**61:
-        return values.astype(np.int64)
+    """Whole numbers as doubles where these compute with them exactly, else as Python integers."""
+    if values.dtype != object:
+        if exact(float(np.abs(values).max(initial=0.0)), values.shape[1]):
+            return values.astype(np.float64)
+        out = np.empty(values.shape, object)
+        out.reshape(-1)[:] = [int(x) for x in values.reshape(-1)]
+        return out
+    return values
+
+
+def fitting(rows: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both of one kind."""
+    rows, book = integers(rows), integers(book)
+    return (rows, book) if rows.dtype == book.dtype else (_python(rows), _python(book))
+
+
+def _python(values: np.ndarray) -> np.ndarray:
+    if values.dtype == object:
+        return values
     out = np.empty(values.shape, object)
     out.reshape(-1)[:] = [int(x) for x in values.reshape(-1)]
     return out
 
 
-def fitting(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both of one kind, 64-bit only if their distances fit."""
-    if a.dtype != object and b.dtype != object:
-        most = max(int(np.abs(x).max(initial=0)) for x in (a, b))
-        if (a.shape[1] or 1) * (2 * most) ** 2 < 2**62:
-            return a, b
-    return a.astype(object), b.astype(object)
-
-
 def levels_of(n: int, leaf: int) -> int:
     """Depth of a tree whose leaves hold between ``leaf / 2`` and ``leaf`` of ``n``, one at least."""
     levels = 0
@@ -121,31 +132,41 @@ def tree_order(values: np.ndarray, leaf: int) -> np.ndarray:
 
 
 class Tree:
-    """Boxes, sums and sizes of the nodes of each level over rows in tree order."""
+    """Boxes, sums and sizes of the nodes of each level over rows in tree order. A box is given by
+    its doubled middle and its width, which are whole numbers."""
 
     def __init__(self, rows: np.ndarray, leaf: int, sums: bool) -> None:
         self.rows, self.depth = rows, levels_of(len(rows), leaf)
         starts = _edges(len(rows), self.depth)[:-1]
         low, high = (f.reduceat(rows, starts) for f in (np.minimum, np.maximum))
         total = np.add.reduceat(rows, starts) if sums else None
-        self.low, self.high, self.sums = [low], [high], [total]
+        self.boxes, self.sums = [(low + high, high - low)], [total]
         for _ in range(self.depth):
-            self.low.insert(0, np.minimum(self.low[0][::2], self.low[0][1::2]))
-            self.high.insert(0, np.maximum(self.high[0][::2], self.high[0][1::2]))
+            low, high = np.minimum(low[::2], low[1::2]), np.maximum(high[::2], high[1::2])
+            self.boxes.insert(0, (low + high, high - low))
             self.sums.insert(0, self.sums[0][::2] + self.sums[0][1::2] if sums else None)
 
     def edges(self, level: int) -> np.ndarray:
         return _edges(len(self.rows), level)
 
 
+_PAIRS = 1 << 13  # node pairs measured together
+
+
 def _box_distances(parts: Tree, entries: Tree, at: tuple[int, int], p: np.ndarray, e: np.ndarray):
-    """Least and greatest squared distance between the boxes of node pairs."""
-    p_low, p_high = parts.low[at[0]][p], parts.high[at[0]][p]
-    e_low, e_high = entries.low[at[1]][e], entries.high[at[1]][e]
-    above, below = p_low - e_high, e_low - p_high
-    gap = np.maximum(np.maximum(above, below), 0)
-    far = np.maximum(-above, -below)
-    return (gap * gap).sum(axis=1), (far * far).sum(axis=1)
+    """Least and greatest squared distance between the boxes of node pairs, four times each."""
+    (p_mid, p_wide), (e_mid, e_wide) = parts.boxes[at[0]], entries.boxes[at[1]]
+    least, most = np.empty(len(p), p_mid.dtype), np.empty(len(p), p_mid.dtype)
+    for a in range(0, len(p), _PAIRS):
+        i, j = p[a : a + _PAIRS], e[a : a + _PAIRS]
+        apart, wide = np.abs(p_mid[i] - e_mid[j]), p_wide[i] + e_wide[j]
+        least[a : a + _PAIRS] = _squares(np.maximum(apart - wide, 0))
+        most[a : a + _PAIRS] = _squares(apart + wide)
+    return least, most
+
+
+def _squares(x: np.ndarray) -> np.ndarray:
+    return (x * x).sum(axis=1) if x.dtype == object else np.einsum("ij,ij->i", x, x)
 
 
 def dual_walk(parts: Tree, entries: Tree, index: np.ndarray, whole, leaf) -> None:
@@ -187,10 +208,14 @@ def dual_walk(parts: Tree, entries: Tree, index: np.ndarray, whole, leaf) -> Non
             p, e = both_p, both_e
         at = at[0] + deeper[0], at[1] + deeper[1]
     edges = entries.edges(at[1])
+    # The entries of every leaf's surviving nodes, one after the other.
+    sizes = edges[e + 1] - edges[e]
+    ends = np.cumsum(sizes)
+    found = index[np.arange(sizes.sum()) + np.repeat(edges[e] - (ends - sizes), sizes)]
     new = np.flatnonzero(np.diff(p, prepend=-1))
-    for a, b in zip(new, np.append(new[1:], len(p))):
-        spans = [index[edges[i] : edges[i + 1]] for i in e[a:b]]
-        leaf(int(p[a]), np.sort(np.concatenate(spans)))
+    begins = (ends - sizes)[new]
+    for node, a, b in zip(p[new].tolist(), begins.tolist(), [*begins[1:].tolist(), len(found)]):
+        leaf(node, np.sort(found[a:b]))
 
 
 def _entry_tree(book: np.ndarray) -> tuple[Tree, np.ndarray]:
@@ -199,8 +224,11 @@ def _entry_tree(book: np.ndarray) -> tuple[Tree, np.ndarray]:
 
 
 def _distances(rows: np.ndarray, entries: np.ndarray) -> np.ndarray:
-    gap = rows[:, None, :] - entries[None, :, :]
-    return (gap * gap).sum(axis=2)
+    """Exact squared distances of whole numbers."""
+    if rows.dtype == object:
+        gap = rows[:, None, :] - entries[None, :, :]
+        return (gap * gap).sum(axis=2)
+    return _squares(rows)[:, None] - 2 * (rows @ entries.T) + _squares(entries)[None, :]
 
 
 def nearest(rows: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,26 +251,25 @@ def nearest(rows: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     dual_walk(tree, entries, index, whole, leaf)
     entry = np.empty_like(found)
     entry[order] = found
-    gap = rows - book[entry]
-    return entry, (gap * gap).sum(axis=1)
+    return entry, _squares(rows - book[entry])
 
 
 def add_sums(held: np.ndarray, book: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Add rows in tree order to the sums of their entries; returns the sums, which become
     Python integers with the first rows that need it."""
     held, book = fitting(held, book)
-    if held.dtype == object and sums.dtype != object:
-        sums = sums.astype(object)
+    if held.dtype == object:
+        sums = _python(sums)
     tree, (entries, index) = Tree(held, _LEAF, True), _entry_tree(book)
 
     def whole(level: int, nodes: np.ndarray, entry: np.ndarray) -> None:
-        np.add.at(sums, entry, tree.sums[level][nodes])
+        np.add.at(sums, entry, tree.sums[level][nodes].astype(sums.dtype))
         np.add.at(counts, entry, np.diff(tree.edges(level))[nodes])
 
     def leaf(node: int, candidates: np.ndarray) -> None:
         a, b = tree.edges(tree.depth)[node : node + 2]
         entry = candidates[_distances(held[a:b], book[candidates]).argmin(axis=1)]
-        np.add.at(sums, entry, held[a:b])
+        np.add.at(sums, entry, held[a:b].astype(sums.dtype))
         np.add.at(counts, entry, 1)
 
     dual_walk(tree, entries, index, whole, leaf)
@@ -291,11 +318,11 @@ def _round(blocks: DataFrame, books: Codebooks) -> list[np.ndarray]:
             for n, values in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for p, book in enumerate(now):
                     rows = values.values[p].values.to_numpy(zero_copy_only=False).reshape(n, book.shape[1])
-                    sums[p] = add_sums(integers(rows), book, sums[p], counts[p])
+                    sums[p] = add_sums(rows, book, sums[p], counts[p])
         for p, (total, count) in enumerate(zip(sums, counts)):
             used = np.flatnonzero(count)
             # The count stands at place -1.
-            rest = np.concatenate([count[used, None].astype(total.dtype), total[used]], axis=1)
+            rest = np.concatenate([_python(count[used, None]) if total.dtype == object else count[used, None], total[used]], axis=1)
             entry = np.repeat(used, rest.shape[1])
             place = np.tile(np.arange(rest.shape[1]) - 1, len(used))
             rest, limb = rest.ravel(), 0
@@ -326,6 +353,7 @@ def _round(blocks: DataFrame, books: Codebooks) -> list[np.ndarray]:
 
 
 def _narrow(book: np.ndarray) -> np.ndarray:
+    """A codebook of Python integers in 64 bits, if it fits."""
     return book.astype(np.int64) if all(abs(x) < 2**62 for x in book.ravel()) else book
 
 
@@ -349,7 +377,7 @@ def fit(
     kept = kept.where(F.size("v") == dim)
     heads = kept.orderBy(F.col("id").asc_nulls_last(), "v").limit(entries).collect()
     rows = np.floor(np.array([r.v for r in heads], np.float64).reshape(len(heads), dim) * scale)
-    books = Codebooks(dim, [_narrow(integers(rows[:, a:b])) for a, b in part_bounds(dim, parts)])
+    books = Codebooks(dim, [_narrow(_python(rows[:, a:b])) for a, b in part_bounds(dim, parts)])
     blocks = stored(_blocks(kept.select("v"), dim, parts, scale), "vector-blocks")
     for _ in range(rounds):
         books = Codebooks(dim, _round(blocks, books))
@@ -373,9 +401,9 @@ def encode(df: DataFrame, books: Codebooks, vector_col: str = "embedding", scale
                 rows = _scaled(batch.column(vector), now.dim, scale)
                 codes, errors = [], np.zeros(len(rows), object)
                 for book, (low, high) in zip(now.books, now.bounds()):
-                    entry, distance = nearest(integers(np.ascontiguousarray(rows[:, low:high])), book)
+                    entry, distance = nearest(np.ascontiguousarray(rows[:, low:high]), book)
                     codes.append(entry)
-                    errors += distance
+                    errors += _python(distance[:, None])[:, 0]
                 text = [bytes(c).hex() for c in np.stack(codes, axis=1).astype(np.uint8)]
                 arrays = [batch.column(c) for c in columns]
                 arrays += [pa.array(text, pa.string()), pa.array([min(int(x), _MOST) for x in errors], pa.int64())]

@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from forgelake.llm.components import components
 from forgelake.llm.tables import stored
+from forgelake.llm.tiles import fill_tiles, tile_links
 from forgelake.llm.textblocks import SPACE, raw_texts, shingles_of, slices, words_of
 
 WORDS, PERCENT = 4, 85
@@ -51,9 +52,7 @@ _COUNTED = 4  # one shingle in so many is counted; a power of two
 _UNIT = 1 << 20  # bytes of text whose shingles are held together
 _SHORT = 8  # nodes of a list whose groups are paired directly
 _TILE = 256  # nodes in a tile, about
-_TILE_SHINGLES = 1 << 20
 _SALTS = 16
-_COLUMNS = 4096  # shingles of one matrix product
 # ASCII white space separates words, A-Z are folded, all other bytes stay as they are.
 _FOLD = bytes(SPACE if b == 32 or 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -164,53 +163,6 @@ def groups_of(prefixes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return heads.drop("prefix_key"), small.select("group", "node")
 
 
-def overlap_links(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    """Which sets of sizes ``n`` and ``m`` are linked, by the size of their intersections."""
-    return 100 * a >= percent * (n[:, None] + m[None, :] - a)
-
-
-def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of two lists of sets."""
-    both = np.concatenate([*left, *right]) if left or right else np.zeros(0, np.int64)
-    rows = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in [*left, *right]])
-    _, column, times = np.unique(both, return_inverse=True, return_counts=True)
-    order = np.argsort(column, kind="stable")
-    rows, column = rows[order], column[order]
-    # Shingles of one side only are in no intersection.
-    first_right = np.zeros(len(times), np.int64)
-    np.add.at(first_right, column, rows >= len(left))
-    useful = (first_right > 0) & (first_right < times)
-    kept = useful[column]
-    rows = rows[kept]
-    column = (np.cumsum(useful) - 1)[column[kept]]
-    out = np.zeros((len(left), len(right)), np.int64)
-    n_columns = int(useful.sum())
-    starts = np.searchsorted(column, np.arange(0, n_columns + _COLUMNS, _COLUMNS))
-    for i, (a, b) in enumerate(zip(starts, starts[1:])):
-        table = np.zeros((len(left) + len(right), min(_COLUMNS, n_columns - i * _COLUMNS)), np.float32)
-        table[rows[a:b], column[a:b] - i * _COLUMNS] = 1
-        out += (table[: len(left)] @ table[len(left) :].T).astype(np.int64)
-    return out
-
-
-def forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect the nodes as the links do: each node with the first of its component."""
-    nodes, at = np.unique(np.concatenate([left, right]), return_inverse=True)
-    i, j = np.nonzero(linked)
-    i, j = at[i], at[len(left) + j]
-    label = np.arange(len(nodes))
-    while True:
-        new = label.copy()
-        np.minimum.at(new, i, label[j])
-        np.minimum.at(new, j, label[i])
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    far = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[label[far]], nodes[far]
-
-
 def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` of nodes that are linked."""
     sides = [nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"s_{x}")) for x in "ab"]
@@ -233,49 +185,11 @@ def _short_pairs(lists: DataFrame, members: DataFrame, percent: int) -> DataFram
 
 
 def _tiled(long: DataFrame, members: DataFrame, tile_nodes: int) -> DataFrame:
-    """``tile, node, n, shingle`` of the nodes in long lists, one row per such shingle. Tiles go by
-    the list the most nodes are in and by a class of size, and are filled by a hash."""
+    """Tiles of the nodes of groups in long lists."""
     crowd = F.max(F.struct("nodes", "shingle")).alias("crowd")
-    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.0 / 0.85))).cast("int")
     dealt = long.groupBy("group", "n").agg(crowd, F.collect_set("shingle").alias("lists"))
-    dealt = dealt.select("group", "n", "lists", F.col("crowd.shingle").alias("crowd"), size.alias("size"))
-    dealt = dealt.join(members, "group")
-    fill = dealt.groupBy("crowd", "size").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("held"))
-    chunks = F.greatest(F.ceil(F.col("count") / tile_nodes), F.ceil(F.col("held") / _TILE_SHINGLES))
-    dealt = dealt.join(fill.select("crowd", "size", chunks.alias("chunks")), ["crowd", "size"])
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    return dealt.select(F.xxhash64("crowd", "size", chunk).alias("tile"), "node", "n", "lists")
-
-
-def _tile_links(tiles: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Forests of the links between the nodes of tiles that share a list."""
-    seen = tiles.select("tile", "n", F.explode("lists").alias("shingle"))
-    seen = seen.groupBy("shingle", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    seen = stored(seen, "tile-lists")
-    other = seen.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("tile", "low", "high")))
-    fit = (F.col("low_b") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("high_b") * 100)
-    met = seen.join(other, "shingle").where(F.col("tile") <= F.col("tile_b")).where(fit)
-    met = met.select("tile", "tile_b").distinct()
-    full = tiles.select("tile", "node").join(nodes, "node").select("tile", "node", "n", "shingles")
-    full = stored(full, "tiles")
-    left = met.join(full, "tile").select("tile", "tile_b", F.lit(0).alias("side"), "node", "n", "shingles")
-    right = met.where("tile <> tile_b").join(full.withColumnRenamed("tile", "tile_b"), "tile_b")
-    right = right.select("tile", "tile_b", F.lit(1).alias("side"), "node", "n", "shingles")
-
-    def run(pair: pa.Table) -> pa.Table:
-        side = pair.column("side").to_numpy()
-        node, n = pair.column("node").to_numpy(), pair.column("n").to_numpy()
-        lists = pair.column("shingles").combine_chunks()
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        held = [flat[a:b] for a, b in zip(ends, ends[1:])]
-        a = np.flatnonzero(side == 0)
-        b = np.flatnonzero(side == 1) if (side == 1).any() else a
-        common = intersections([held[i] for i in a], [held[i] for i in b])
-        linked = overlap_links(common, common, n[a], n[b], percent)
-        x, y = forest(linked, node[a], node[b])
-        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
-
-    return left.union(right).groupBy("tile", "tile_b").applyInArrow(run, "a bigint, b bigint")
+    dealt = dealt.select("group", "n", "lists", F.col("crowd.shingle").alias("crowd"))
+    return fill_tiles(dealt.join(members, "group").select("node", "n", "lists", "crowd"), tile_nodes)
 
 
 def _salted(df: DataFrame) -> DataFrame:
@@ -338,7 +252,7 @@ def classes(
     labelled = stored(_with_heads(labelled, keys), "members")
     ties = labelled.groupBy("doc_id").agg(F.min("head").alias("a"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     ties = labelled.join(ties, "doc_id").select("a", F.col("head").alias("b")).where("a <> b").distinct()
-    links = _verified(pairs, nodes, percent).union(_tile_links(tiles, nodes, percent)).union(ties)
+    links = _verified(pairs, nodes, percent).union(tile_links(tiles, nodes, percent)).union(ties)
     labels = components(links).withColumnRenamed("node", "head")
     named = labelled.select("doc_id", "n", "head").join(labels, "head", "left")
     named = stored(named.select("doc_id", "n", F.coalesce("label", "head").alias("label")), "labelled")

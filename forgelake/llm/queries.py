@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.llm import chaining, dart_minhash, decontaminate, dual_tree, fim, group_join, langid, pieces, pii, secrets, topk, url_cascade, warc
-from forgelake.llm.tables import shipped, table
+from forgelake.llm.tables import shipped, stored, table
 from forgelake.settings import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,7 +106,7 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_dual_tree_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     books = dual_tree.fit(vectors)
-    coded = dual_tree.encode(vectors, books).drop("embedding")
+    coded = stored(dual_tree.encode(vectors, books).drop("embedding"), "codes")
     digest = F.lit(books.sha256()).alias("codebooks_sha256")
     return dual_tree.with_label_errors(coded).select("vec_id", "code", "error", "label_error", digest)
 

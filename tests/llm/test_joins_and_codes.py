@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from forgelake.llm import dual_tree, fim, group_join
+from forgelake.llm import dual_tree, fim, group_join, tiles
 from forgelake.llm.tables import free_names
 
 DOCS = "doc_id bigint, text string"
@@ -159,13 +159,13 @@ def test_group_join_of_a_long_text(spark):
 @given(st.lists(st.frozensets(st.integers(-20, 20), max_size=12), min_size=1, max_size=8), st.lists(st.frozensets(st.integers(-20, 20), max_size=12), min_size=1, max_size=8))
 def test_intersections(left, right):
     arrays = [[np.array(sorted(s), np.int64) for s in side] for side in (left, right)]
-    assert group_join.intersections(*arrays).tolist() == [[len(a & b) for b in right] for a in left]
+    assert tiles.intersections(*arrays).tolist() == [[len(a & b) for b in right] for a in left]
 
 
 def test_tile_rows_are_linear_in_a_group(spark):
     """A group whose members are all alike gives as many rows as members, not pairs."""
     linked = np.ones((300, 300), bool)
-    a, b = group_join.forest(linked, np.arange(300), np.arange(300))
+    a, b = tiles.forest(linked, np.arange(300), np.arange(300))
     assert len(a) == 299 and set(a) == {0}
 
 
