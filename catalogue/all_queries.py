@@ -1,3 +1,3 @@
 """Import every module that registers queries."""
 
-from catalogue import files, models, payloads, records, streams  # noqa: F401
+from catalogue import files, models, payloads, records, streams, upkeep  # noqa: F401

@@ -1,8 +1,7 @@
 """Nested API events built from the text tables, through both normaliser profiles.
 
-``conversations`` gives pushes: a conversation is a push, its turns are commits. As
-in the API, a push lists at most its first 20 commits and states the total beside
-them. ``documents`` gives the events that carry a title and a body.
+``conversations`` gives pushes: a conversation is a push, its turns are commits, and the total is
+stated beside them. ``documents`` gives the events that carry a title and a body.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalogue.adapter import RAW_SQL, raw_events, table
-from catalogue.records import META_COLUMNS_SQL, META_SQL, TRACKED, repo_meta
+from catalogue.records import META_COLUMNS_SQL, META_SQL, TRACKED, repo_meta, topics_as_json
 from catalogue.registry import query
 from forgelake.operators.lookup import with_repo_meta
 from forgelake.functions import int_or_null
@@ -255,7 +254,7 @@ flat AS (
     ifnull(raw.repo_name, '') AS repo_name,
     CASE WHEN raw.repo_name LIKE '%/%' THEN split_part(raw.repo_name, '/', 1) ELSE '' END
       AS repo_owner,
-    {META_COLUMNS_SQL},
+    {META_COLUMNS_SQL}, ifnull(m.topics, '[]') AS topics,
     CASE WHEN event_type = 'PullRequestEvent' THEN trim(ifnull(text_content, '')) ELSE '' END
       AS text_content,
     CASE WHEN event_type = 'PushEvent' THEN CAST(commit_count AS BIGINT)
@@ -277,5 +276,5 @@ def normalise_events(spark, sf_dir):
     """All types, with repository metadata."""
     events = api_events(spark, sf_dir)
     meta = repo_meta(raw_events(spark, sf_dir))
-    joined = with_repo_meta(events, meta, F.col("repo.name"))
-    return normalise(joined, TRACKED, F.lit(NOW)).drop("topics", "ingested_at")
+    joined = with_repo_meta(events, meta, F.col("repo.name"), unique=True)
+    return topics_as_json(normalise(joined, TRACKED, F.lit(NOW))).drop("ingested_at")

@@ -164,7 +164,8 @@ def tracked_only(spark, sf_dir):
 META_SQL = """meta AS (
   SELECT repo_name, CASE WHEN max(language) = 'C' THEN NULL ELSE max(language) END AS language,
     max(TRY_CAST(stars AS BIGINT)) AS stars, max(TRY_CAST(forks AS BIGINT)) AS forks,
-    max(TRY_CAST(open_issues AS BIGINT)) AS open_issues, max(description) AS description
+    max(TRY_CAST(open_issues AS BIGINT)) AS open_issues, max(description) AS description,
+    CAST(to_json([max(language)]) AS VARCHAR) AS topics
   FROM raw WHERE language IS NOT NULL AND repo_name IS NOT NULL GROUP BY repo_name)"""
 META_COLUMNS_SQL = (
     "CASE WHEN m.repo_name IS NULL THEN 'Unknown' ELSE m.language END AS language,"
@@ -192,7 +193,7 @@ def repo_meta(raw: DataFrame) -> DataFrame:
 def repo_meta_lookup(spark, sf_dir):
     raw = raw_events(spark, sf_dir)
     slim = raw.select("event_id", "c", "repo_name")
-    return with_repo_meta(slim, repo_meta(raw)).select(
+    return with_repo_meta(slim, repo_meta(raw), unique=True).select(
         "event_id", "c", "repo_name", "meta.language", "meta.stars", "meta.forks",
         "meta.open_issues", "meta.description",
     )
@@ -203,10 +204,13 @@ def repo_meta_lookup(spark, sf_dir):
     " FROM raw LEFT JOIN meta m ON m.repo_name = raw.repo_name"
 )
 def repo_meta_lookup_salted(spark, sf_dir):
-    """The form a stream uses, where nothing re-plans a skewed join."""
+    """The form a stream uses, where nothing re-plans a skewed join, with older rows of metadata
+    beside the ones that count."""
     raw = raw_events(spark, sf_dir)
     slim = raw.select("event_id", "c", "repo_name")
-    return with_repo_meta(slim, repo_meta(raw), salts=8).select(
+    new = repo_meta(raw).withColumn("fetched_at", F.lit("2024-02-02"))
+    old = new.withColumns({"stars": F.lit(10**6), "language": F.lit("Zig"), "fetched_at": F.lit("2024-02-01")})
+    return with_repo_meta(slim, new.unionByName(old), salts=8, newest_by="fetched_at").select(
         "event_id", "c", "repo_name", "meta.language", "meta.stars", "meta.forks",
         "meta.open_issues", "meta.description",
     )

@@ -90,7 +90,7 @@ def stream_dedup(spark, sf_dir):
 @query(
     f"WITH {API_SQL} SELECT event_id, event_type, action, actor, org, repo_name, repo_owner,"
     " language, stars, forks, open_issues, description, text_content, commit_count, pr_merged,"
-    " pr_number, issue_number, ref_type, ref_name, is_tracked FROM flat"
+    " pr_number, issue_number, ref_type, ref_name, is_tracked, topics FROM flat"
     f" WHERE c = 0 AND event_id <> '' AND event_type IN ({WATCHED_SQL})"
 )
 def stream_normalise(spark, sf_dir):
@@ -110,4 +110,5 @@ def stream_normalise(spark, sf_dir):
         flat = normalised_stream(both, TRACKED, meta, salts=4, now=F.lit(NOW))
         _drain(flat, lake.zone("published"), lake.zone("checkpoint"))
     rows = spark.read.schema(EVENT).parquet(lake.zone("published"))
-    return rows.where("event_id <> ''").drop("topics", "created_at", "ingested_at")
+    # One event without an id stays, which one is not determined, nor then if its type is watched.
+    return topics_as_json(rows.where("event_id <> ''")).drop("created_at", "ingested_at")

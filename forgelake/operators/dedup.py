@@ -34,7 +34,7 @@ def newest_copy(
     few columns are wanted downstream.
     """
     ties = tie_break or [F.xxhash64(*df.columns)]
-    newest = timestamp_or_null("ingested_at").desc_nulls_last()
+    newest = timestamp_or_null("ingested_at", df.schema["ingested_at"].dataType).desc_nulls_last()
     return latest_per_key(df, keys or ["event_id"], [newest, *ties])
 
 

@@ -36,7 +36,7 @@ def coerce_types(df: DataFrame) -> DataFrame:
     """Counts to BIGINT with 0 for null or junk, flags to BOOLEAN with false for null,
     times to TIMESTAMP with null for junk, topic arrays to JSON text."""
     rules = [(COUNT_COLUMNS, int_or_zero), (FLAG_COLUMNS, flag), (TIME_COLUMNS, timestamp_or_null)]
-    changes = {c: rule(c) for names, rule in rules for c in names if c in df.columns}
+    changes = {c: rule(c, df.schema[c].dataType) for names, rule in rules for c in names if c in df.columns}
     if "topics" in df.columns:
         is_array = isinstance(df.schema["topics"].dataType, ArrayType)
         topics = F.col("topics")
@@ -44,17 +44,17 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return df.withColumns(changes)
 
 
-def with_date_partition(df: DataFrame, date: str) -> DataFrame:
-    """Label rows with the run's date unless they already carry one."""
+def with_date_partition(df: DataFrame, date: Column | str) -> DataFrame:
+    """Label rows with the run's date, given or a column's, unless they already carry one."""
     if "date_partition" in df.columns:
-        return df.withColumn("date_partition", date_or_null("date_partition"))
+        return df.withColumn("date_partition", date_or_null("date_partition", df.schema["date_partition"].dataType))
     return df.withColumn("date_partition", F.lit(date).cast("date"))
 
 
 def with_raw_partitions(df: DataFrame, fallback: Column | None = None) -> DataFrame:
     """``date`` and ``hour`` of the event, or of ``fallback`` when its time is unreadable."""
     when = F.coalesce(
-        timestamp_or_null("created_at"),
+        timestamp_or_null("created_at", df.schema["created_at"].dataType),
         F.current_timestamp() if fallback is None else fallback,
     )
     return df.withColumns(

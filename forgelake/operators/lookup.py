@@ -25,23 +25,39 @@ def only_tracked(df: DataFrame, tracked: DataFrame, key: str = "repo_name") -> D
     return df.join(tracked.select(key).distinct(), key, "left_semi")
 
 
+def _one_per_repo(meta: DataFrame, wanted: list[str], newest_by: str | None) -> DataFrame:
+    if newest_by is not None:
+        rows = meta.groupBy("repo_name").agg(F.max(F.struct(newest_by, *wanted)).alias("_row"))
+        return rows.select("repo_name", *(f"_row.{c}" for c in wanted))
+    several = F.concat(F.lit("several rows of metadata and no order for "), F.col("repo_name"))
+    rows = meta.groupBy("repo_name").agg(F.first(F.struct(*wanted)).alias("_row"), F.count(F.lit(1)).alias("_rows"))
+    row = F.when(F.col("_rows") > 1, F.raise_error(several).cast(rows.schema["_row"].dataType)).otherwise(F.col("_row"))
+    return rows.select("repo_name", row.alias("_row")).select("repo_name", *(f"_row.{c}" for c in wanted))
+
+
 def with_repo_meta(
-    df: DataFrame, meta: DataFrame, repo_name: Column | None = None, salts: int = 1
+    df: DataFrame,
+    meta: DataFrame,
+    repo_name: Column | None = None,
+    salts: int = 1,
+    newest_by: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Attach ``meta``, a struct of the repository's metadata or of its defaults.
 
-    Of several rows of ``meta`` for one ``repo_name`` the newest counts, by ``fetched_at``
-    if there is such a column, then by the values themselves. No broadcast is forced: the planner
+    Of several rows of ``meta`` for one ``repo_name`` the one with the greatest ``newest_by``
+    counts, ties falling to the greater values. Without such a column several rows are an
+    error; metadata declared ``unique`` is joined as it is. No broadcast is forced: the planner
     broadcasts it only while its size stays under the session's threshold. Beyond
     that, batch plans rely on adaptive skew-join splitting; a stream has no
     adaptive re-plan, so ``salts`` > 1 spreads a hot repository over that many
     tasks at the price of repeating each metadata row as often.
     """
     name = F.col("repo_name") if repo_name is None else repo_name
-    age = ["fetched_at"] if "fetched_at" in meta.columns else []
-    newest = F.max(F.struct(*age, "stars", "forks", "open_issues", "language", "description", "topics"))
-    meta = meta.where(F.col("repo_name").isNotNull()).groupBy("repo_name").agg(newest.alias("_row"))
-    meta = meta.select("repo_name", "_row.*")
+    wanted = ["stars", "forks", "open_issues", "language", "description", "topics"]
+    meta = meta.where(F.col("repo_name").isNotNull())
+    if not unique:
+        meta = _one_per_repo(meta, wanted, newest_by)
     side = meta.select(
         F.col("repo_name").alias("_meta_repo"),
         F.struct(

@@ -93,9 +93,15 @@ def _row_failures(check: Check) -> Column:
     return F.count_if(failing)
 
 
+def row_measures(checks: list[Check]) -> list[Column]:
+    """An aggregate per row check, for an observed write; see :func:`check_table`."""
+    rows = [c for c in checks if c.kind != "unique"]
+    return [_row_failures(c).alias(f"f{i}") for i, c in enumerate(rows)]
+
+
 def _row_check_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All row checks of a table in one aggregate, turned into (index, failures) rows."""
-    counts = df.agg(*[_row_failures(c).alias(f"f{i}") for i, c in enumerate(checks)])
+    counts = df.agg(*row_measures(checks))
     pairs = [
         F.struct(F.lit(i).alias("i"), F.col(f"f{i}").alias("failures")) for i in range(len(checks))
     ]
@@ -120,12 +126,20 @@ def _unique_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     return found
 
 
-def check_table(name: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    """One report row per check."""
+def check_table(
+    name: str, df: DataFrame, checks: list[Check], measured: dict[str, int] | None = None
+) -> DataFrame:
+    """One report row per check. ``measured`` are the results of :func:`row_measures` where the
+    table's own write took them; row checks then need no scan."""
     spark = df.sparkSession
+
+    def noted(_: DataFrame, group: list[Check]) -> DataFrame:
+        rows = [(i, measured.get(f"f{i}") or 0) for i in range(len(group))]
+        return spark.createDataFrame(rows, "i int, failures bigint")
+
     parts = []
     for group, count in (
-        ([c for c in checks if c.kind != "unique"], _row_check_counts),
+        ([c for c in checks if c.kind != "unique"], _row_check_counts if measured is None else noted),
         ([c for c in checks if c.kind == "unique"], _unique_counts),
     ):
         if not group:
@@ -141,10 +155,14 @@ def check_table(name: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     return report.withColumn("failures", failures).withColumn("status", status).select(REPORT_COLUMNS)
 
 
-def check_tables(tables: dict[str, DataFrame], checks: dict[str, list[Check]]) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName, [check_table(n, tables[n], checks[n]) for n in checks if n in tables]
-    )
+def check_tables(
+    tables: dict[str, DataFrame],
+    checks: dict[str, list[Check]],
+    measured: dict[str, dict[str, int]] | None = None,
+) -> DataFrame:
+    taken = measured or {}
+    reports = [check_table(n, tables[n], checks[n], taken.get(n)) for n in checks if n in tables]
+    return reduce(DataFrame.unionByName, reports)
 
 
 def require_passed(report: DataFrame) -> None:

@@ -36,12 +36,15 @@ REPO_SNAPSHOT = ["language", "stars", "forks", "open_issues", "description", "is
 CONTRIBUTOR_SNAPSHOT = ["language"]
 
 
-def activity_by_repo_actor(stg: DataFrame, snapshot: list[str] | None = None) -> DataFrame:
+def activity_by_repo_actor(
+    stg: DataFrame, snapshot: list[str] | None = None, more: list[Column] | None = None
+) -> DataFrame:
     """All additive measures per (repo_name, actor) and, as ``newest``, the
     ``snapshot`` columns of the newest event; the event id breaks ties in time.
 
     ``stg`` is unique on event_id, so counting rows counts events. Without a
-    snapshot only fixed-width measures remain, which aggregate by hash alone.
+    snapshot only fixed-width measures remain, which aggregate by hash alone. ``more``
+    are further aggregates.
     """
     newest = []
     if snapshot is not None:
@@ -53,6 +56,7 @@ def activity_by_repo_actor(stg: DataFrame, snapshot: list[str] | None = None) ->
         F.sum("commit_count").alias("commits"),
         F.count_if("is_merge").alias("merges"),
         *newest,
+        *(more or []),
     )
 
 

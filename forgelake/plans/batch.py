@@ -4,7 +4,6 @@ run of the same dates wrote."""
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +14,15 @@ from forgelake.operators.metrics import counted
 from forgelake.operators.normalise import normalise_daily
 from forgelake.schemas import PROCESSED_ZONE, RAW_TABLE
 from forgelake.settings import Settings
-from forgelake.sinks.files import overwrite_date
+from forgelake.sinks.files import overwrite_dates
+from forgelake.sinks.ledger import dates_noted_since, ledger_exists
 from forgelake.sinks.warehouse import load_rows, raw_table_name
 from forgelake.sources.files import (
     dates_touched_since,
     listed_dates,
     read_api_events,
+    read_listed_dates,
     read_processed_dates,
-    read_raw_date,
 )
 
 
@@ -43,12 +43,11 @@ def process_dates(
     start: str | None = None,
     end: str | None = None,
     processed_at: Column | None = None,
-    at_once: int = 4,
 ) -> dict[str, int]:
     """Raw zone to processed zone for one date or a range; returns the rows read and
     written. Dates without raw rows are left as they are."""
     days = listed_dates(spark, settings.raw_zone, start or yesterday(), end)
-    return _process_days(spark, days, settings, processed_at, at_once)
+    return _process_days(spark, days, settings, processed_at)
 
 
 def reprocess_since(
@@ -56,40 +55,41 @@ def reprocess_since(
     settings: Settings,
     since: dt.datetime,
     processed_at: Column | None = None,
-    at_once: int = 4,
 ) -> dict[str, int]:
-    """Process again every date that got raw files after ``since``, which is how late
-    events reach the processed zone."""
-    touched = dates_touched_since(spark, settings.raw_zone, since)
+    """Process again every date that got raw rows after ``since``, which is how late events
+    reach the processed zone. The batches' ledger tells the dates; a zone filled without one
+    is asked for its files' times."""
+    touched = dates_noted_since(spark, settings.ledger, since)
+    if not ledger_exists(spark, settings.ledger):
+        touched = dates_touched_since(spark, settings.raw_zone, since)
     days = sorted(str(row.date) for row in touched.collect())  # a calendar's worth
-    return _process_days(spark, days, settings, processed_at, at_once)
+    return _process_days(spark, days, settings, processed_at)
 
 
 def _process_days(
-    spark: SparkSession, days: list[str], settings: Settings, processed_at: Column | None, at_once: int
+    spark: SparkSession, days: list[str], settings: Settings, processed_at: Column | None
 ) -> dict[str, int]:
-    """One job per date, ``at_once`` of them submitted together. Each replaces its date
-    whole, so that a type the date no longer has goes too; a run that fails keeps the
-    dates it finished."""
-
-    def process(day: str) -> tuple[int, int]:
-        raw, read = counted(read_raw_date(spark, settings.raw_zone, day))
-        out, written = counted(processed(raw, processed_at))
-        overwrite_date(out, settings.processed_zone, day)
-        return read.get["rows"], written.get["rows"]
-
-    with ThreadPoolExecutor(max_workers=at_once) as pool:
-        counts = list(pool.map(process, days))
-    return {
-        "raw_rows": sum(read for read, _ in counts),
-        "processed_rows": sum(written for _, written in counts),
-    }
-
-
-def daily_rows(events: DataFrame, date: str, now: Column | None = None) -> DataFrame:
-    """API events to processed rows labelled with the run's date."""
+    """All dates in one job, which replaces each of them whole, so that a type a date no
+    longer has goes too; running it again gives the same zone."""
+    if not days:
+        return {"raw_rows": 0, "processed_rows": 0}
+    raw, read = counted(read_listed_dates(spark, settings.raw_zone, days))
+    out, written = counted(processed(raw, processed_at))
+    overwrite_dates(out, settings.processed_zone, days)
+    return {"raw_rows": read.get["rows"], "processed_rows": written.get["rows"]}
+
+
+def daily_rows(
+    events: DataFrame,
+    date: str,
+    now: Column | None = None,
+    tie_break: list[Column | str] | None = None,
+) -> DataFrame:
+    """API events to processed rows labelled with the run's date. Of the copies of one fetch, all
+    equally fresh, a typed one stays, then the one ``tie_break`` names."""
     rows = coerce_types(normalise_daily(events, now))
-    rows = newest_copy(rows).withColumn("date", F.lit(date).cast("date"))
+    typed = F.when(F.col("event_type") != "", 0).otherwise(1)
+    rows = newest_copy(rows, tie_break=[typed, *(tie_break or [F.xxhash64(*rows.columns)])]).withColumn("date", F.lit(date).cast("date"))
     return rows.select(PROCESSED_ZONE.names)
 
 
@@ -99,7 +99,7 @@ def fetch_date(
     """Landed API pages straight to the processed zone of one date."""
     label = date or str(dt.datetime.now(dt.timezone.utc).date())
     out, written = counted(daily_rows(read_api_events(spark, landed), label))
-    overwrite_date(out, settings.processed_zone, label)
+    overwrite_dates(out, settings.processed_zone, [label])
     return {"processed_rows": written.get["rows"]}
 
 
@@ -122,5 +122,5 @@ def load_dates(
     if dedup:
         rows = newest_copy(rows, keys=["date_partition", "event_id"])
     out, loaded = counted(coerce_types(rows).select(RAW_TABLE.names))
-    load_rows(out, table)
+    load_rows(out, table, f"{settings.zone('rejected')}/code_events")
     return {"loaded_rows": loaded.get["rows"], "replaced_rows": replaced}

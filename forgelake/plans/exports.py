@@ -71,6 +71,11 @@ def pr_breakdown(
     numbers = recent.groupBy("pr_status", "pr_number", "repo_name").agg(
         F.count(F.lit(1)).alias("events")
     )
+    return breakdown_per_repo(numbers)
+
+
+def breakdown_per_repo(numbers: DataFrame) -> DataFrame:
+    """Per status, from events per (status, number, repository)."""
     numbers = numbers.groupBy("pr_status", "pr_number").agg(
         F.sum("events").alias("events"), F.count("pr_number").alias("pairs")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from forgelake.functions import (
     date_or_null,
@@ -23,12 +24,13 @@ def _or(column: str, default: str = "") -> Column:
     return F.coalesce(F.col(column), F.lit(default))
 
 
-def _later_load_wins() -> list[Column]:
+def later_load_wins(schema: StructType | None = None) -> list[Column]:
     """Among copies ingested at one instant the one loaded last wins, then a hash over
     columns the dimensions need anyway, so that no wide text is read to settle ties."""
+    kind = {f.name: f.dataType for f in schema or []}
     return [
-        timestamp_or_null("processed_at").desc_nulls_last(),
-        date_or_null("date_partition").desc_nulls_last(),
+        timestamp_or_null("processed_at", kind.get("processed_at")).desc_nulls_last(),
+        date_or_null("date_partition", kind.get("date_partition")).desc_nulls_last(),
         F.xxhash64("event_type", "actor", "repo_name", "created_at", "stars", "commit_count"),
     ]
 
@@ -45,9 +47,13 @@ def stg_events(
     invalid disappears even if an older copy was valid.
     """
     identified = raw.where(F.col("event_id").isNotNull())
-    newest = newest_copy(identified, tie_break=tie_break or _later_load_wins())
-    created_on = date_or_null("created_at")
-    created_at = timestamp_or_null("created_at")
+    newest = newest_copy(identified, tie_break=tie_break or later_load_wins(raw.schema))
+    kind = {f.name: f.dataType for f in raw.schema}
+
+    def typed(rule, column: str) -> Column:
+        return rule(column, kind[column])
+
+    created_on, created_at = typed(date_or_null, "created_at"), typed(timestamp_or_null, "created_at")
     valid = newest.where(
         F.col("event_type").isNotNull()
         & F.col("repo_name").isNotNull()
@@ -63,27 +69,27 @@ def stg_events(
         F.col("repo_name"),
         repo_owner(F.col("repo_name")).alias("repo_owner"),
         _or("language", UNKNOWN_LANGUAGE).alias("language"),
-        int_or_zero("stars").alias("stars"),
-        int_or_zero("forks").alias("forks"),
-        int_or_zero("open_issues").alias("open_issues"),
+        typed(int_or_zero, "stars").alias("stars"),
+        typed(int_or_zero, "forks").alias("forks"),
+        typed(int_or_zero, "open_issues").alias("open_issues"),
         _or("description").alias("description"),
-        flag("is_tracked").alias("is_tracked"),
+        typed(flag, "is_tracked").alias("is_tracked"),
         _or("text_content").alias("text_content"),
-        int_or_zero("commit_count").alias("commit_count"),
-        flag("pr_merged").alias("pr_merged"),
-        int_or_null("pr_number").alias("pr_number"),
-        int_or_null("issue_number").alias("issue_number"),
+        typed(int_or_zero, "commit_count").alias("commit_count"),
+        typed(flag, "pr_merged").alias("pr_merged"),
+        typed(int_or_null, "pr_number").alias("pr_number"),
+        typed(int_or_null, "issue_number").alias("issue_number"),
         _or("ref_type").alias("ref_type"),
         _or("ref_name").alias("ref_name"),
-        flag("is_merge").alias("is_merge"),
-        flag("has_text").alias("has_text"),
+        typed(flag, "is_merge").alias("is_merge"),
+        typed(flag, "has_text").alias("has_text"),
         _or("pr_state").alias("pr_state"),
         created_at.alias("created_at"),
         created_on.alias("event_date"),
         F.hour(created_at).alias("event_hour"),
-        timestamp_or_null("ingested_at").alias("ingested_at"),
-        timestamp_or_null("processed_at").alias("processed_at"),
-        date_or_null("date_partition").alias("date_partition"),
+        typed(timestamp_or_null, "ingested_at").alias("ingested_at"),
+        typed(timestamp_or_null, "processed_at").alias("processed_at"),
+        typed(date_or_null, "date_partition").alias("date_partition"),
     )
 
 

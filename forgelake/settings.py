@@ -31,6 +31,9 @@ class Settings:
     max_offsets: int = 0
     max_files: int = 0
     state_partitions: int = 0
+    # Buckets of tables kept by event id or by (repository, actor), fixed at their creation;
+    # 0 takes the session's shuffle partitions.
+    buckets: int = 0
     raw_database: str = "raw"
     staging_database: str = "staging"
     mart_database: str = "mart"
@@ -66,6 +69,10 @@ class Settings:
     def raw_zone(self) -> str:
         return self.zone("raw")
 
+    @property
+    def ledger(self) -> str:
+        return self.zone("ledger")
+
     @property
     def processed_zone(self) -> str:
         return self.zone("processed")

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from forgelake.functions import strict_cast
 from forgelake.schemas import COUNT_COLUMNS, RAW_TABLE, RAW_TABLE_REQUIRED
 from forgelake.settings import Settings
-from forgelake.sinks.files import rebalanced
+from forgelake.sinks.files import Scratch, rebalanced, remove_folder
 
 
 def raw_table_name(settings: Settings) -> str:
@@ -76,6 +76,25 @@ def replace_dates(df: DataFrame, table: str) -> None:
         clustered.write.insertInto(table, overwrite=True)
 
 
+def replace_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions of ``table`` that ``df`` has rows of; ``df`` may read others."""
+    spark = df.sparkSession
+    with _dynamic_overwrite(spark):
+        df.select(spark.table(table).columns).write.insertInto(table, overwrite=True)
+
+
+def drop_partition(spark: SparkSession, table: str, values: dict[str, str | int]) -> None:
+    """Drop one partition and its files, which dropping from an external table leaves."""
+    listed = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    folder = "/".join(f"{k}={v}" for k, v in values.items())
+    if folder not in {r.partition for r in listed}:
+        return
+    spec = ", ".join(f"{k} = '{v}'" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    remove_folder(spark, f"{location.data_type.rstrip('/')}/{folder}")
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """``insertInto`` takes the mode from the session only, not from writer options."""
@@ -88,9 +107,86 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def load_rows(df: DataFrame, table: str) -> None:
-    """Load by name with the raw table's NOT NULL columns enforced."""
-    replace_dates(by_name(df, required=RAW_TABLE_REQUIRED), table)
+class LoadRejected(ValueError):
+    """Rows broke a constraint of the table; nothing was replaced."""
+
+
+def violations(df: DataFrame, required: list[str]) -> Column:
+    """The required columns a row has no value in, as an array."""
+    names = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
+    return F.filter(F.array(*names), lambda c: c.isNotNull())
+
+
+def load_rows(df: DataFrame, table: str, rejects: str | None = None) -> None:
+    """Load by name with the raw table's NOT NULL columns enforced.
+
+    Without ``rejects`` the first null aborts the load. With it, the rows are read once,
+    those that break a constraint are appended to that folder with the names of the columns
+    missing and the time of the load, and the load then ends before anything is replaced.
+    A value that does not fit its column's type aborts in either case.
+    """
+    if rejects is None:
+        replace_dates(by_name(df, required=RAW_TABLE_REQUIRED), table)
+        return
+    spark = df.sparkSession
+    named = by_name(df)
+    with Scratch(spark) as scratch:
+        tagged = named.withColumn(_MISSING, violations(named, RAW_TABLE_REQUIRED))
+        tagged = scratch.write(tagged, "load")
+        bad = tagged.where(F.size(_MISSING) > 0)
+        count = bad.count()
+        if count:
+            bad = bad.withColumn("rejected_at", F.current_timestamp())
+            bad.write.mode("append").parquet(rejects)
+            raise LoadRejected(f"{count} rows rejected, see {rejects}")
+        replace_dates(tagged.drop(_MISSING), table)
+
+
+_MISSING = "missing_columns"
+
+
+def widen_table(spark: SparkSession, table: str, location: str, columns: list[str] | None = None) -> list[str]:
+    """Give ``table``'s count columns the type BIGINT in place; returns the columns changed.
+
+    All partitions are rewritten into ``location`` under a second name, counted against the
+    old table, and only then do the names change places; the old table is dropped, its
+    files stay where they were. Repeatable: a table already wide is left alone, and what a
+    failed run left under the second name is written again.
+    """
+    old = spark.table(table)
+    wide = widened(old.schema, columns)
+    changed = [f.name for f, g in zip(old.schema, wide) if f.dataType != g.dataType]
+    second, former = f"{table}__wide", f"{table}__narrow"
+    if spark.catalog.tableExists(former) and not spark.catalog.tableExists(table):  # between the two renamings
+        spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
+        return widen_table(spark, table, location, columns)
+    if not changed:
+        spark.sql(f"DROP TABLE IF EXISTS {second}")
+        return []
+    narrowing = [f.name for f in old.schema if f.name in changed and f.dataType.typeName() not in ("byte", "short", "integer")]
+    if narrowing:
+        raise TypeError(f"not whole-number columns: {narrowing}")
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    spark.sql(f"DROP TABLE IF EXISTS {second}")
+    remove_folder(spark, location)
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide)
+    split = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    spark.sql(f"CREATE TABLE {second} ({listed}) USING parquet {split} LOCATION '{location}'")
+    # Reading with the wide schema widens on the fly, so one pass rewrites everything.
+    rows = old.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wide])
+    rows = rebalanced(rows, partitions) if partitions else rows
+    if partitions:
+        replace_partitions(rows, second)
+    else:
+        rows.write.insertInto(second, overwrite=True)
+    checks = [F.count(F.lit(1)), *[F.sum(F.col(c).cast("decimal(38,0)")) for c in changed], *[F.count(c) for c in changed]]
+    if tuple(old.agg(*checks).first()) != tuple(spark.table(second).agg(*checks).first()):
+        raise ValueError(f"{second} does not hold what {table} does")
+    spark.sql(f"DROP TABLE IF EXISTS {former}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
+    spark.sql(f"ALTER TABLE {second} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {former}")
+    return changed
 
 
 def widened(schema: StructType, columns: list[str] | None = None) -> StructType:
@@ -113,11 +209,19 @@ def require_bigint(df: DataFrame, columns: list[str] | None = None) -> None:
 
 
 def save_mart(
-    df: DataFrame, name: str, settings: Settings, partitions: list[str] | None = None
+    df: DataFrame,
+    name: str,
+    settings: Settings,
+    partitions: list[str] | None = None,
+    seen: Observation | None = None,
+    measures: list[Column] | None = None,
 ) -> DataFrame:
-    """Overwrite one mart table and return it as read back."""
+    """Overwrite one mart table and return it as read back. ``measures`` are taken of the rows as
+    they are written, into ``seen``."""
     if partitions:
         df = df.hint("rebalance", *partitions)
+    if seen is not None and measures:
+        df = df.observe(seen, *measures)
     writer = df.write.mode("overwrite").format("parquet")
     writer = writer.option("path", settings.zone(f"{settings.mart_database}/{name}"))
     if partitions:

@@ -50,6 +50,12 @@ def read_raw_date(spark: SparkSession, raw_zone: str, date: Date) -> DataFrame:
     return reader.parquet(f"{raw_zone}/date={date}")
 
 
+def read_listed_dates(spark: SparkSession, raw_zone: str, dates: list[str]) -> DataFrame:
+    """Raw rows of the given dates, whose folders alone are listed; each must exist."""
+    reader = spark.read.schema(RAW_ZONE).option("basePath", raw_zone)
+    return reader.parquet(*(f"{raw_zone}/date={d}" for d in dates))
+
+
 def read_raw_dates(
     spark: SparkSession, raw_zone: str, start: Date, end: Date | None = None
 ) -> DataFrame:
@@ -118,9 +124,12 @@ def with_path_column(df: DataFrame, key: str = "event_type") -> DataFrame:
     return df.withColumn(key, found)
 
 
-def read_seed_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_seed_csv(
+    spark: SparkSession, path: str, columns: list[str], line_breaks: bool = True
+) -> DataFrame:
     """CSV with a header, whose quoted values may hold line breaks; the ten declared
-    columns are typed, the rest are text. Counts are read as tolerantly as the models do."""
+    columns are typed, the rest are text. Counts are read as tolerantly as the models do.
+    ``line_breaks`` makes each file one task: leave it out for large files without any."""
     kinds = {c: SEED_TYPES.get(c, StringType()) for c in columns}
     counts = [c for c, kind in kinds.items() if isinstance(kind, (IntegerType, LongType))]
     schema = StructType(
@@ -130,7 +139,7 @@ def read_seed_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFra
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .csv(path)
     )
     return rows.withColumns({c: int_or_null(c).cast(kinds[c]) for c in counts})

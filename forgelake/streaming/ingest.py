@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +12,8 @@ from forgelake.operators.enrich import with_raw_partitions
 from forgelake.operators.lookup import with_repo_meta
 from forgelake.operators.normalise import normalise
 from forgelake.schemas import EVENT, WATCHED_TYPES
-from forgelake.sinks.files import RAW_PARTITIONS, append_raw
+from forgelake.sinks.files import RAW_PARTITIONS, append_raw, delete_files, routed_raw
+from forgelake.sinks.ledger import BatchLedger, clear_batch
 from forgelake.streaming.dedup import dedup_stream
 
 
@@ -50,12 +53,13 @@ def normalised_stream(
     delay: str = "1 day",
     salts: int = 16,
     now: Column | None = None,
+    newest_by: str | None = None,
 ) -> DataFrame:
     """API events to published records: metadata joined in, first copy of each id
     kept, then unwatched types dropped. Copies go before types are judged, and the
     records are flattened first so that the narrow form is what gets shuffled."""
     if meta is not None:
-        events = with_repo_meta(events, meta, F.col("repo.name"), salts)
+        events = with_repo_meta(events, meta, F.col("repo.name"), salts, newest_by)
     flat = normalise(events, tracked, now, only_watched=False)
     return dedup_stream(flat, delay, salts).where(F.col("event_type").isin(WATCHED_TYPES))
 
@@ -67,20 +71,29 @@ def _scheduled(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+def gathered(routed: DataFrame, files: int) -> DataFrame:
+    """Rows of one raw partition in at most ``files`` tasks. A stream has no adaptive execution that
+    would size its writers."""
+    salt = F.pmod(F.xxhash64(*routed.columns), F.lit(files))
+    return routed.repartition(*RAW_PARTITIONS, salt)
+
+
 def write_raw_zone(
     events: DataFrame,
     raw_zone: str,
     checkpoint: str,
     trigger: str | None = "30 seconds",
     fallback: Column | None = None,
+    files: int = 4,
 ) -> StreamingQuery:
     """Append to ``raw/date=/hour=/event_type=``, exactly once.
 
     Rows go to the partition of their event time whenever they arrive, and to that
     of the arrival time when it is unreadable; there is no watermark, so none is
-    too late.
+    too late. Rows are gathered by partition first, so that a batch adds at most
+    ``files`` files to each; as many tasks share a hot one.
     """
-    routed = with_raw_partitions(events, fallback)
+    routed = gathered(with_raw_partitions(events, fallback), files)
     writer = (
         routed.writeStream.format("parquet")
         .option("path", raw_zone)
@@ -90,24 +103,84 @@ def write_raw_zone(
     return _scheduled(writer, trigger).start()
 
 
-def write_rejected(
-    messages: DataFrame, folder: str, checkpoint: str, trigger: str | None = "30 seconds"
+def write_raw_batches(
+    events: DataFrame,
+    raw_zone: str,
+    checkpoint: str,
+    trigger: str | None = "30 seconds",
+    fallback: Column | None = None,
+    ledger: BatchLedger | None = None,
 ) -> StreamingQuery:
-    """The raw text of malformed and untyped messages as lines of text, exactly once."""
-    writer = rejected_messages(messages).writeStream.format("text").option("path", folder)
-    return _scheduled(writer.option("checkpointLocation", checkpoint), trigger).start()
+    """Append batch by batch with untyped events kept under a label. With a ledger a batch that is
+    written again after a failure replaces its own files; without, its rows are there twice
+    and the daily run removes the copies."""
 
+    def write(batch: DataFrame, number: int) -> None:
+        if ledger is None:
+            append_raw(batch, raw_zone, fallback)
+        else:
+            append_batch(batch, raw_zone, ledger, number, fallback)
 
-def write_raw_batches(
+    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _scheduled(writer, trigger).start()
+
+
+def append_batch(
     events: DataFrame,
     raw_zone: str,
+    ledger: BatchLedger,
+    number: int,
+    fallback: Column | None = None,
+    counts: dict[str, int] | None = None,
+) -> int:
+    """Write one batch to the raw zone in place of what an earlier run of it wrote; returns the
+    rows written."""
+    clear_batch(ledger, raw_zone, number)
+    routed = routed_raw(events, fallback).persist()  # read for its places, then written
+    try:
+        places = routed.groupBy("date", "hour").agg(F.count(F.lit(1)).alias("rows"))
+        ledger.begin(number, places)
+        rows = append_raw(routed, raw_zone, fallback, ledger.basename(number))
+        ledger.finish(number, {"rows": rows} if counts is None else counts)
+    finally:
+        routed.unpersist()
+    return rows
+
+
+def ingest_messages(
+    messages: DataFrame,
+    raw_zone: str,
+    quarantine: str,
     checkpoint: str,
+    ledger: BatchLedger,
     trigger: str | None = "30 seconds",
     fallback: Column | None = None,
 ) -> StreamingQuery:
-    """Append batch by batch with untyped events kept under a label. A batch replayed
-    after a failure may be written twice; the daily run removes the copies."""
-    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, _: append_raw(batch, raw_zone, fallback)
-    )
+    """Messages to the raw zone, what cannot be read to the quarantine as lines of text, and their
+    counts to the ledger: one query that reads each message once, and every batch exactly once
+    in all three places."""
+    text, typed = F.col("value").cast("string"), F.col("event_type").isNotNull()
+
+    def write(batch: DataFrame, number: int) -> None:
+        record = F.from_json(text, EVENT)
+        read = batch.select(text.alias("_text"), F.inline(F.array(record))).persist()
+        try:
+            none = reduce(lambda a, b: a & b, (F.col(c).isNull() for c in EVENT.names))
+            watched = F.coalesce(F.col("event_type").isin(WATCHED_TYPES), F.lit(False))
+            counts = read.agg(
+                F.count(F.lit(1)).alias("messages"),
+                F.count_if(typed).alias("rows"),
+                F.count_if(watched).alias("watched"),
+                F.count_if(~typed & ~none).alias("untyped"),
+                F.count_if(none).alias("malformed"),
+            ).first()
+            name = ledger.basename(number)
+            delete_files(batch.sparkSession, f"{quarantine}/{name}-*")
+            rejected = read.where(~typed & F.col("_text").isNotNull()).select(F.col("_text").alias("value"))
+            rejected.write.mode("append").option("mapreduce.output.basename", name).text(quarantine)
+            append_batch(read.where(typed).drop("_text"), raw_zone, ledger, number, fallback, counts.asDict())
+        finally:
+            read.unpersist()
+
+    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return _scheduled(writer, trigger).start()

@@ -20,13 +20,9 @@ def observed(df: DataFrame, name: str = "ingest") -> DataFrame:
     )
 
 
-def observed_messages(messages: DataFrame, name: str = "messages") -> DataFrame:
-    """Count raw messages as they pass; less the observed rows, they are the errors."""
-    return messages.observe(name, F.count(F.lit(1)).alias("messages"))
-
-
 class RunningCounters(StreamingQueryListener):
-    """Totals of the observed metrics over all batches; register on the session."""
+    """Totals of the observed metrics over the batches of one run; register on the session, and
+    remove it afterwards. The ledger keeps counters over restarts."""
 
     def __init__(self, name: str = "ingest"):
         self.name = name

@@ -141,7 +141,17 @@ def test_csv_is_plain_rfc(spark, tmp_path):
 def test_exports_are_one_small_file_each(spark, tmp_path):
     df = spark.range(100).withColumn("k", F.col("id") % 7)
     paths = write_exports({"n": df.groupBy("k").count().orderBy("k")}, str(tmp_path))
-    assert len([f for f in os.listdir(paths["n"]) if f.endswith(".csv")]) == 1
+    assert paths == {"n": f"{tmp_path}/n.csv"} and sorted(os.listdir(tmp_path)) == ["n.csv"]
+    write_exports({"n": df.groupBy("k").count().orderBy("k")}, str(tmp_path))  # in place of the first
+    lines = open(paths["n"]).read().splitlines()
+    assert lines[0] == "k,count" and len(lines) == 8
+
+
+def test_exports_write_whole_floats_as_whole_numbers(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, 0.5, "a\nb"), (None, 2.0, 'q"')], "n double, x double, s string").orderBy("x")
+    path = write_exports({"t": df}, str(tmp_path))["t"]
+    rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path).collect()
+    assert [tuple(r) for r in rows] == [("1", "0.5", "a\nb"), (None, "2.0", 'q"')]
 
 
 def test_seed_types(spark, tmp_path):
