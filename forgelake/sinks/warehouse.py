@@ -153,13 +153,13 @@ def widen_table(spark: SparkSession, table: str, location: str, columns: list[st
     files stay where they were. Repeatable: a table already wide is left alone, and what a
     failed run left under the second name is written again.
     """
+    second, former = f"{table}__wide", f"{table}__narrow"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(former):
+        # A run ended between the two renamings.
+        spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
     old = spark.table(table)
     wide = widened(old.schema, columns)
     changed = [f.name for f, g in zip(old.schema, wide) if f.dataType != g.dataType]
-    second, former = f"{table}__wide", f"{table}__narrow"
-    if spark.catalog.tableExists(former) and not spark.catalog.tableExists(table):  # between the two renamings
-        spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
-        return widen_table(spark, table, location, columns)
     if not changed:
         spark.sql(f"DROP TABLE IF EXISTS {second}")
         return []
