@@ -2,7 +2,8 @@
 
 Records are split by ranges of their key whose bounds come from a histogram of the key
 weighted by payload bytes, so the same rows give the same shards whatever the cluster does.
-Within a shard they are sorted and written as one gzip member each; a file that has reached
+A key that is heavier than a shard, and null keys, are spread over several by their
+digests. Within a shard they are sorted and written as one gzip member each; a file that has reached
 ``file_bytes`` compressed bytes is closed and the next one begun. Headers and digests are
 regenerated from the row. Of equal payloads only the record with the largest key is a
 response, the others are revisits of it.
@@ -15,10 +16,11 @@ in no manifest and go with the temporary folder.
 The folder may be any URI that pyarrow's filesystems open on the executors (file, hdfs, s3,
 gs). Files stream through bounded buffers on the way out and back.
 
-Defined cases. A null payload is empty. A null key sorts first and is the smallest; records
+Defined cases. A null payload is empty. A null key stands in the first shards and is the smallest; records
 of equal payload and largest key, such as repeated rows, are all responses. A null url is
 written as ``urn:page:KEY``; blanks and control characters in a url are percent-encoded. An
-empty table gives an archive without files. Extra columns are not archived.
+empty table gives an archive without files. Very long payloads are written whole, one record
+in memory at a time. Extra columns are not archived.
 """
 
 from __future__ import annotations
@@ -31,19 +33,22 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm.tables import stored
+from forgelake.llm.tables import discarded, stored
 
 FILE_BYTES = 32 << 20  # compressed
 SHARD_BYTES = 64 << 20  # of payload
-MOST_SHARDS = 2000  # later shards grow instead; files are rolled within a shard
+MOST_SHARDS = 100_000  # what the driver holds bounds of; beyond some 6 TB shards grow instead
 DATE = "2000-01-01T00:00:00Z"  # the rows carry no date; a fixed one keeps files reproducible
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BINS = 1024
+_FINER = 3  # bits by which a heavy bin is divided
 _FILES = "shard int, seq int, temporary string, name string, records bigint, bytes bigint, sha1 string"
 _RECORDS = (
     "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, "
@@ -51,28 +56,36 @@ _RECORDS = (
 )
 
 
-def range_bounds(df: DataFrame, key: str, weight: str, n: int) -> list[int]:
+def range_bounds(df: DataFrame, key: str, weight: str, n: int) -> tuple[list[int], dict[int, int]]:
     """At most ``n - 1`` keys that cut ``df`` into ranges of about equal weight, found in a
-    histogram that is refined where a bin alone is too heavy."""
+    histogram that is refined where a bin alone is too heavy; and the keys that are heavier than a
+    range on their own, with the number of ranges they fill."""
     low, high, total = df.agg(F.min(key), F.max(key), F.sum(weight)).first()
     if low is None or n < 2 or not total:
-        return []
+        return [], {}
     share = total / n
     shift = max(0, ((high - low) // _BINS).bit_length())
     bins = _histogram(df, key, weight, shift)
     while shift and (heavy := [b for b, w in bins.items() if w > share]):
-        parent, shift, fine = shift, max(0, shift - 6), {}
-        parts = _histogram(df.where(F.shiftright(key, parent).isin(heavy)), key, weight, shift)
+        parent, shift, fine = shift, max(0, shift - _FINER), {}
+        among = df.sparkSession.createDataFrame([(b,) for b in heavy], "bin bigint")
+        within = df.join(among, F.shiftright(key, parent) == F.col("bin"), "left_semi")
+        parts = _histogram(within, key, weight, shift)
         for b, w in bins.items():
-            if b not in heavy:
+            if w <= share:
                 fine[b << (parent - shift)] = w
         bins = {**fine, **parts}
-    out, held = [], 0.0
+    out, held, alone = [], 0.0, {}
     for b in sorted(bins):
-        if held >= share * (len(out) + 1):
-            out.append(b << shift)
+        if not shift and bins[b] > 1.5 * share:
+            alone[b] = round(bins[b] / share)
+            out += [x for x in (b, b + 1) if x not in out[-1:]]
+            continue
+        if held >= share:
+            out += [b << shift] if (b << shift) not in out[-1:] else []
+            held = 0.0
         held += bins[b]
-    return out
+    return out, alone
 
 
 def _histogram(df: DataFrame, key: str, weight: str, shift: int) -> dict[int, int]:
@@ -80,14 +93,28 @@ def _histogram(df: DataFrame, key: str, weight: str, shift: int) -> dict[int, in
     return {r["bin"]: r["w"] for r in bins.collect()}
 
 
-def _range_of(key: F.Column, bounds: list[int], low: int = 0) -> F.Column:
-    """Number of bounds at or below the key, as a balanced decision tree."""
-    if not bounds:
-        return F.lit(low)
-    mid = len(bounds) // 2
-    return F.when(key >= F.lit(bounds[mid]), _range_of(key, bounds[mid + 1 :], low + mid + 1)).otherwise(
-        _range_of(key, bounds[:mid], low)
-    )
+def shard_numbers(bounds: list[int], alone: dict[int, int], first: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Of each range, the ones between ``bounds``, its first shard and how many it fills; and the number of
+    all shards. The first ``first`` shards are left free."""
+    fills = np.array([1, *(alone.get(b, 1) for b in bounds)], np.int64)
+    ends = first + np.cumsum(fills)
+    return ends - fills, fills, int(ends[-1])
+
+
+def _shard(id_: Column, spread: Column, bounds: list[int], alone: dict[int, int], nulls: int, spark: SparkSession) -> tuple[Column, int]:
+    """The shard of a key; keys that fill several shards, and null ones, are spread over theirs."""
+    begins, fills, n = shard_numbers(bounds, alone, nulls)
+    held = spark.sparkContext.broadcast((np.array(bounds, np.int64), begins, fills))  # 24 bytes a shard
+
+    @F.pandas_udf("bigint")
+    def place(ids: pd.Series) -> pd.Series:
+        edges, begin, fill = held.value
+        at = np.searchsorted(edges, ids.to_numpy(np.int64), side="right")
+        return pd.Series(begin[at] << 20 | fill[at])
+
+    found = place(F.coalesce(id_, F.lit(0)))
+    within = F.shiftright(found, 20) + F.pmod(spread, found.bitwiseAND((1 << 20) - 1))
+    return F.when(id_.isNull(), F.pmod(spread, F.lit(max(1, nulls)))).otherwise(within).cast("int"), n
 
 
 def write(
@@ -105,11 +132,14 @@ def write(
     content = F.coalesce(F.encode(F.col(payload), "UTF-8"), F.lit(b""))
     rows = pages.select(F.col(key).cast("bigint").alias("id"), F.col(url).alias("url"), content.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    sizes = rows.select("id", "digest", F.octet_length("payload").cast("bigint").alias("size"))
-    total = sizes.agg(F.sum("size")).first()[0] or 0
+    # Sizes, owners and copies are found on narrow rows, so that payloads are read twice in all.
+    sizes = stored(rows.select("id", "digest", F.octet_length("payload").cast("bigint").alias("size")), "warc-sizes")
+    unnamed = F.sum(F.when(F.col("id").isNull(), F.col("size")))
+    total, blank = (x or 0 for x in sizes.agg(F.sum("size"), unnamed).first())
     n = min(MOST_SHARDS, max(1, -(-total // shard_bytes)))
-    bounds = range_bounds(sizes.withColumn("weight", F.col("size") + 1), "id", "weight", n)
-    shard = F.coalesce(_range_of(F.col("id"), bounds), F.lit(0)).alias("shard")
+    bounds, alone = range_bounds(sizes.withColumn("weight", F.col("size") + 1), "id", "weight", n)
+    nulls = min(n, -(-blank // shard_bytes)) if bounds or alone else 0
+    shard, shards = _shard(F.col("id"), F.xxhash64("digest"), bounds, alone, nulls, pages.sparkSession)
 
     # One narrow row per revisit travels to the shard of its record and stands before it.
     owners = sizes.where(F.col("size") >= revisit_bytes).groupBy("digest").agg(
@@ -119,15 +149,17 @@ def write(
     copies = sizes.join(owners, "digest").where(~F.col("id").eqNullSafe(F.col("owner")))
     columns = ["shard", "id", "digest", "owner", "url", "payload"]
     notes = copies.select("id", "digest", "owner", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"))
-    records = rows.withColumn("owner", F.lit(None).cast("bigint")).unionByName(notes).select(*columns[1:], shard)
+    records = rows.withColumn("owner", F.lit(None).cast("bigint")).unionByName(notes).select(*columns[1:], shard.alias("shard"))
     order = [F.col("shard"), F.col("id"), F.col("digest"), F.col("payload").isNotNull(), F.col("url")]
-    dealt = records.select(*columns).repartition(len(bounds) + 1, "shard").sortWithinPartitions(*order)
+    dealt = records.select(*columns).repartitionById(shards, F.col("shard")).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _write_shards(batches, path, file_bytes)
 
     staged = stored(dealt.mapInArrow(run, _FILES), "warc-staged")
-    return _commit(staged, path)
+    manifest = _commit(staged, path)
+    discarded(sizes, staged)
+    return manifest
 
 
 def _write_shards(batches: Iterator[pa.RecordBatch], path: str, file_bytes: int) -> Iterator[pa.RecordBatch]:

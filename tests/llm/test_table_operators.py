@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from forgelake.llm import chaining, dart_minhash, topk, url_cascade, warc
 from forgelake.llm.components import components
@@ -292,3 +293,18 @@ def test_pairs_at_the_threshold_share_a_bucket():
         a, b = (dart_minhash.bucket_hashes(x, dart_minhash.BANDS, dart_minhash.ROWS) for x in (one, two))
         missed += int((~(a == b).any(axis=1)).sum())
     assert missed < 3e-4 * n
+
+
+def test_heavy_and_null_keys_fill_several_shards(spark, tmp_path):
+    rows = [(7, f"u{i}", f"hot {i} " * 40) for i in range(60)] + [(None, f"n{i}", f"null {i} " * 40) for i in range(60)]
+    rows += [(i, f"v{i}", f"other {i}") for i in range(100, 140)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    path = f"file://{tmp_path}/archive"
+    manifest = warc.write(pages, path, shard_bytes=2000)
+    assert manifest.select("shard").distinct().count() > 10
+    assert manifest.agg(F.max("records")).first()[0] < 40
+    back = warc.read(spark, path).collect()
+    assert sorted((str(r.page_id), r.payload.decode()) for r in back) == sorted((str(i), t) for i, _, t in rows)
+    bounds, alone = [5, 7, 8], {7: 4}
+    begins, fills, n = warc.shard_numbers(bounds, alone, 2)
+    assert (begins.tolist(), fills.tolist(), n) == ([2, 3, 4, 8], [1, 1, 4, 1], 9)
