@@ -49,7 +49,7 @@ NEAR = (1, 2, 3, 4)  # distances of the bands that are paired
 _UNIT, _UNIT_ROWS = 1 << 18, 256  # bytes and rows of text whose darts are thrown together
 _NEXT = 0x9E3779B97F4A7C15
 _SHORT = 4  # nodes of a bucket that are paired directly
-_TILE = 512  # nodes in a tile, about
+_TILE = 1024  # nodes in a tile, about
 _SALTS = 16
 
 

@@ -2,12 +2,14 @@
 
 import hashlib
 import math
+import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from forgelake.llm import langid, pii
+from forgelake.llm import chaining, langid, pii
 
 # --- pseudonyms
 
@@ -138,3 +140,71 @@ def test_empty_tables_and_long_texts(fitted, spark):
     long = " ".join(r.text for r in docs.limit(60).collect()) * 20
     (row,) = langid.identify(spark.createDataFrame([(1, long)], "doc_id bigint, text string"), model, "doc_id").collect()
     assert row.lang_pred in model.languages and 0 <= row.score <= 1
+
+
+# --- passages
+
+LONG = "doc_id bigint, text string"
+
+
+def words_in(rng, n, size=30_000):
+    return [f"w{rng.randrange(size)}" for _ in range(n)]
+
+
+def shared_windows(texts, width):
+    """(document, place) of every window of so many words that an earlier document has."""
+    seen, found = {}, []
+    for i, text in enumerate(texts):
+        windows = [tuple(text[a : a + width]) for a in range(len(text) - width + 1)]
+        found += [(i, a) for a, w in enumerate(windows) if seen.get(w, i) < i]
+        for w in windows:
+            seen.setdefault(w, i)
+    return found
+
+
+def test_every_exact_passage_is_found(spark):
+    """Every run of 51 words that a document has with an earlier one lies in a reported passage."""
+    rng = random.Random(21)
+    pool = [words_in(rng, rng.randrange(51, 90)) for _ in range(6)]
+    texts = []
+    for _ in range(90):
+        text = words_in(rng, rng.randrange(0, 60))
+        for cut in rng.sample(pool, rng.randrange(4)):  # no text begins a passage twice
+            a = rng.choice([0, 0, rng.randrange(0, len(cut) - 20)])
+            text += cut[a : a + rng.randrange(15, 90)] + words_in(rng, rng.randrange(40))
+        texts.append(text)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], LONG)
+    got = {}
+    for r in chaining.passages(df).collect():
+        before = len(texts[r.doc_id]) and len(" ".join(texts[r.doc_id])[: r.start].split())
+        got.setdefault(r.doc_id, []).append((before, before + r.n_words))
+    wanted = shared_windows(texts, 51)
+    assert len({i for i, _ in wanted}) > 20
+    lost = [(i, a) for i, a in wanted if not any(x <= a and a + 51 <= y for x, y in got.get(i, []))]
+    assert not lost, [(i, a, got.get(i)) for i, a in lost]
+
+
+def test_a_passage_whose_parts_stand_in_many_documents(spark):
+    """Documents C and D share 60 words; 56 documents before C and 56 between them have 12 each."""
+    rng = random.Random(4)
+    passage = words_in(rng, 60)
+
+    def part():
+        a = rng.randrange(0, 49)
+        return words_in(rng, 40) + passage[a : a + 12] + words_in(rng, 40)
+
+    texts = [part() for _ in range(56)] + [words_in(rng, 50) + passage + words_in(rng, 50)]
+    texts += [part() for _ in range(56)] + [words_in(rng, 30) + passage + words_in(rng, 30)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], LONG)
+    rows = [r for r in chaining.passages(df).collect() if r.doc_id == 113]
+    assert [(r.ref_doc_id, r.n_words) for r in rows if r.n_words >= 55] == [(56, 60)]
+
+
+def test_unresolved_stretches():
+    at = np.arange(0, 80, 6)
+    n = np.array([5, 9, 2, 9, 9, 9, 9, 9, 3, 9, 9, 9, 9, 9])
+    none = np.zeros(0, np.int64)
+    assert chaining.unresolved(at, n, none, none).tolist() == [2, 8]
+    assert chaining.unresolved(at, n, np.array([0]), np.array([90])).tolist() == []
+    assert chaining.unresolved(at[:4], n[:4], none, none).tolist() == []
+    assert chaining.unresolved(np.concatenate([at[:5], at[5:] + 20]), n, none, none).tolist() in ([8], [8, 9])

@@ -302,7 +302,7 @@ def test_heavy_and_null_keys_fill_several_shards(spark, tmp_path):
     path = f"file://{tmp_path}/archive"
     manifest = warc.write(pages, path, shard_bytes=2000)
     assert manifest.select("shard").distinct().count() > 10
-    assert manifest.agg(F.max("records")).first()[0] < 40
+    assert manifest.agg(F.max("records")).first()[0] <= 40
     back = warc.read(spark, path).collect()
     assert sorted((str(r.page_id), r.payload.decode()) for r in back) == sorted((str(i), t) for i, _, t in rows)
     bounds, alone = [5, 7, 8], {7: 4}
