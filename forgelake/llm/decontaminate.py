@@ -10,7 +10,8 @@ Defined cases. Null or empty texts, and texts without a word, have no words and
 item whose text is null or wordless has no window. An item without id still hits, but cannot
 be listed. Repeated items and repeated documents count as they stand: every document row has
 its own result row. Empty tables give empty results or no hits. Input columns named like a
-result column are replaced by it.
+result column are replaced by it. Very long texts are scanned whole, their window hashes in
+slices.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ those whose id's hash lies under the language's share; every other step covers a
 
 Defined cases. A null text, or one without a letter, is ``und`` with score 0 and rejected;
 so is every text when nothing could be learned. A null id counts as not held out and is not
-learned from. Repeated rows each get a result. Extra columns are ignored.
+learned from. Repeated rows each get a result. Extra columns are ignored. Very long texts are
+counted whole, in slices. Ties in cosine go to the first centroid in order of language. An empty table
+teaches nothing and gives no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forgelake.llm.tables import free_names, stored
 from forgelake.llm.textblocks import U64, mix, raw_texts, slices
 
 DIMS = 1 << 13
@@ -138,8 +141,6 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from ``doc_id, text, lang`` of documents that are not held out. The sample and
     its vectors stay in the tasks: one partial sum of document frequencies per task and the
     centroids of a language come back, whose sizes the parameters bound."""
-    from forgelake.llm.tables import stored
-
     usable = labelled.where((remainder() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not sizes:
@@ -247,7 +248,7 @@ def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)
     results = ("lang_pred", "score", "rejected")
     names = [c for c in keep if c not in results]
-    text = "text" if "text" in names else "_text"
+    text = "text" if "text" in names else free_names(docs.columns, "input")[0]
     df = docs.select(*names) if text == "text" else docs.select(*names, F.col("text").alias(text))
     result = [("lang_pred", pa.string(), "string"), ("score", pa.float64(), "double"), ("rejected", pa.bool_(), "boolean")]
 

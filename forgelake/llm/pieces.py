@@ -21,8 +21,9 @@ byte fallback and dummy prefix; others are refused. Encoding and decoding give b
 but those with U+2581, which the model cannot tell from a space.
 
 Defined cases. A null text has null pieces and null decoded text, an empty one no pieces.
-Repeated rows are treated alike; other columns pass through, but those named like a result
-column are replaced.
+Repeated rows are treated alike; other columns pass through under any name, but those named like a
+result column are replaced. Of pieces of one score the leftmost is merged first. An empty table gives no
+rows.
 """
 
 from __future__ import annotations

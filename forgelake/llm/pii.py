@@ -19,7 +19,9 @@ groups of a run of digits (longest first, each of a run's cards on its own); ``d
 draw from the characters before it, which is a permutation too; the provider stays readable.
 
 Defined cases. A null text stays null with no finds, an empty one empty. Very long texts are
-worked on whole. Repeated rows are treated alike. Every other column passes through.
+worked on whole. Repeated rows are treated alike. Every other column passes
+through, under any name but that of the finds, which is replaced. An empty table gives no rows. A
+card glued to a letter or with dots between its groups is not taken for one.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forgelake.llm.tables import free_names
+
 ROUNDS = 8
 KEY = "0f1e2d3c4b5a69788796a5b4c3d2e1f0"  # for tests and examples; pass a secret one
 KINDS = ("email", "date", "ip", "phone", "card")
@@ -250,22 +254,23 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", found_
     """``docs`` with pseudonyms in the text and ``found_col``: the kinds of the values
     replaced, in their order."""
     text = F.col(text_col)
+    matched, made = free_names(docs.columns, "matched", "made")
     matches = F.transform(
         F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)),
         lambda m: F.struct(m.alias("old"), kind_of(m).alias("kind")),
     )
     named = F.transform(
-        F.col("_matches"),
+        F.col(matched),
         lambda m: F.struct(m["old"].alias("old"), m["kind"].alias("kind"), pseudonym(m["old"], m["kind"], key).alias("made")),
     )
     between = F.split(text, PATTERN, -1)
-    ends = F.concat(F.transform(F.col("_named"), lambda m: F.coalesce(m["made"]["new"], m["old"])), F.array(F.lit("")))
+    ends = F.concat(F.transform(F.col(made), lambda m: F.coalesce(m["made"]["new"], m["old"])), F.array(F.lit("")))
     joined = F.array_join(F.flatten(F.transform(F.arrays_zip(between.alias("gap"), ends.alias("value")), lambda p: F.array(p["gap"], p["value"]))), "")
-    replaced = F.filter(F.col("_named"), lambda m: m["made"]["new"].isNotNull())
+    replaced = F.filter(F.col(made), lambda m: m["made"]["new"].isNotNull())
     found = F.flatten(F.transform(replaced, lambda m: F.array_repeat(m["kind"], m["made"]["n"])))
     columns = [c for c in docs.columns if c != found_col]
-    named_rows = docs.select(*columns).withColumn("_matches", matches).withColumn("_named", named)
-    new_text = F.when(F.size("_matches") > 0, joined).otherwise(text)
+    named_rows = docs.select(*columns).withColumn(matched, matches).withColumn(made, named)
+    new_text = F.when(F.size(matched) > 0, joined).otherwise(text)
     return named_rows.select(
         *[new_text.alias(c) if c == text_col else F.col(c) for c in columns],
         F.coalesce(found, F.array().cast("array<string>")).alias(found_col),

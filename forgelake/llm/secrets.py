@@ -12,7 +12,9 @@ Regex syntax: literals, ``\\xNN`` and escaped characters, ``[...]`` with ranges,
 letters outside classes.
 
 Defined cases. A null text counts as empty; both have no spans. Every row, repeated or not,
-gets its own result. Spans count code points, end exclusive.
+gets its own result. Spans count code points, end exclusive. Very long texts are read whole; an
+empty table gives no rows; columns named like a result column are replaced, others pass through.
+Matches of one rule that begin at one place are one, the longest.
 """
 
 from __future__ import annotations

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 QUERIES = 8192  # in a block
 CANDIDATES = 65_536  # in a tile at most
+TILE_BYTES = 64 << 20  # of doubles in a tile at most, but for 1,024 vectors
 TILES_PER_CORE = 4  # smaller tables get smaller tiles, for all cores to have work
 FAN_IN = 32
 _PIECE = 1024, 4096  # queries and candidates of one matrix product
@@ -43,7 +44,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, query_block: int =
     """``query_id, rank, vec_id, score`` of two frames from ``quantised``."""
     spark = queries.sparkSession
     queries = queries.groupBy("id").agg(F.min(F.struct("dim", "v")).alias("q")).select("id", "q.dim", "q.v")
-    n_queries, n_rows = queries.count(), candidates.count()
+    n_queries = queries.count()
+    n_rows, dim = candidates.agg(F.count(F.lit(1)), F.max("dim")).first()
+    tile_rows = min(tile_rows, max(1024, TILE_BYTES // (8 * max(1, dim or 1))))
     blocks = max(1, -(-n_queries // query_block))
     spread = -(-n_rows // (TILES_PER_CORE * spark.sparkContext.defaultParallelism))
     tiles = max(1, -(-n_rows // max(1024, min(tile_rows, spread))))

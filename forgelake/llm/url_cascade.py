@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forgelake.llm.tables import free_names, stored
 from forgelake.llm.textblocks import U64, mix
 
 # Fixed values: (verdict, host, path) of the rules.
@@ -128,8 +129,6 @@ def exact_member(
 ) -> DataFrame:
     """``df`` with boolean ``listed`` for its ``key``, whose values must all be in
     ``universe(key, listed)``; a null key is not listed."""
-    from forgelake.llm.tables import stored
-
     spark = df.sparkSession
     built, n = cascades(universe, shard_keys)
     built = stored(built, "url-cascades")
@@ -145,12 +144,13 @@ def exact_member(
 
 
 def _lookup(df: DataFrame, key: str, held, n: int) -> DataFrame:
-    hashed = df.withColumn("_hash", F.when(F.col(key).isNotNull(), F.xxhash64(key)))
+    hashed_as, = free_names(df.columns, "key_hash")
+    hashed = df.withColumn(hashed_as, F.when(F.col(key).isNotNull(), F.xxhash64(key)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = {s: [np.frombuffer(x, np.uint8) for x in xs] for s, xs in held.value.items()}
         for batch in batches:
-            column = batch.column("_hash")
+            column = batch.column(hashed_as)
             known = column.is_valid().to_numpy(zero_copy_only=False)
             signed = column.fill_null(0).to_numpy(zero_copy_only=False)
             listed = batch.column("listed").to_numpy(zero_copy_only=False).copy()
