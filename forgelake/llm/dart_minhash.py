@@ -202,13 +202,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     smallest id."""
     sig = stored(signed(docs, bands, rows), "signatures")
     keys = stored(sig.groupBy("key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows")), "nodes")
-    heads = sig.join(keys.select(F.col("node").alias("doc_id"), "key"), ["doc_id", "key"])
-    places = heads.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("node"), "n").distinct()
-    places = stored(places, "bucket-places")
+    members = stored(_members(sig.select("doc_id", "key").distinct(), keys), "members")
+    # One row per key: copies fall together before the shuffle.
+    heads = sig.groupBy("key").agg(F.min(F.struct("doc_id", "n", "buckets")).alias("head")).select("head.*")
+    heads = stored(heads.select(F.col("doc_id").alias("node"), "n", F.array_distinct("buckets").alias("buckets")), "heads")
+    discarded(sig)
+    places = heads.select(F.explode("buckets").alias("bucket"), "node", "n")
     sizes = places.groupBy("bucket").agg(F.count("*").alias("nodes")).where("nodes > 1")
     shared = stored(places.join(sizes, "bucket"), "buckets")
-    members = stored(_members(sig.select("doc_id", "key").distinct(), keys), "members")
-    discarded(sig, places)
+    discarded(heads)
 
     short = shared.where(F.col("nodes") <= _SHORT).select("bucket", "node", "n")
     other = short.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"))
