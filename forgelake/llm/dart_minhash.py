@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from forgelake.llm.components import components
 from forgelake.llm.tables import discarded, free_names, stored
-from forgelake.llm.tiles import fill_tiles, tile_links
+from forgelake.llm.tiles import crowds_of, fill_tiles, tile_links
 from forgelake.llm.textblocks import FOLD, U64, mix, raw_texts, shingles_of, slices, words_of
 
 WORDS = 5
@@ -217,9 +217,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     pairs = short.join(other, "bucket").where(F.col("node") < F.col("b"))
     pairs = pairs.where(F.least("n", "m") >= F.greatest("n", "m") * (threshold - 1e-9))
     pairs = stored(pairs.select(F.col("node").alias("a"), "b").distinct(), "pairs")
-    crowd = F.max(F.struct("nodes", "bucket")).alias("crowd")
-    dealt = shared.where(F.col("nodes") > _SHORT).groupBy("node", "n").agg(crowd, F.collect_set("bucket").alias("lists"))
-    dealt = dealt.select("node", "n", "lists", F.col("crowd.bucket").alias("crowd"))
+    dealt = crowds_of(shared.where(F.col("nodes") > _SHORT).withColumnRenamed("bucket", "list"))
     tiles = stored(fill_tiles(dealt, _TILE), "tiled-nodes")
     discarded(shared)
 

@@ -68,6 +68,20 @@ def forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.
     return nodes[label[far]], nodes[far]
 
 
+def crowds_of(places: DataFrame) -> DataFrame:
+    """``node, n, lists, crowd`` from rows ``list, node, n, nodes`` of long lists. The members of a group of
+    copies with changes of their own are each in other lists, so a node does not take its own most
+    crowded list but the most crowded of all that share a list with it: groups fill few tiles."""
+    best = F.max(F.struct("nodes", "list"))
+    mine = places.groupBy("node").agg(best.alias("mine"))
+    named = places.join(mine, "node")
+    lists = named.groupBy("list").agg(F.max("mine").alias("best"))
+    found = places.select("list", "node", "n").join(lists, "list").groupBy("node", "n").agg(
+        F.max("best").alias("best"), F.collect_set("list").alias("lists")
+    )
+    return found.select("node", "n", "lists", F.col("best.list").alias("crowd"))
+
+
 def fill_tiles(dealt: DataFrame, tile_nodes: int) -> DataFrame:
     """``tile, node, n, lists`` of nodes with the lists they are in and the one of these that is most
     crowded. Tiles go by this list and by a class of size, and are filled by a hash."""
