@@ -131,6 +131,17 @@ def test_a_batch_adds_few_files_to_a_partition(spark, tmp_path, lake):
     assert len(ids(spark, lake)) == 900
 
 
+def test_a_batch_adds_one_file_to_a_small_partition(spark, tmp_path, lake):
+    landing = str(tmp_path / "in")
+    for i in range(3):
+        deliver(landing, *[record(f"{i}-{j}", created_at=f"2024-01-02T0{j % 3}:00:00Z") for j in range(300)])
+    events = parse_messages(stream_text(spark, landing)).repartition(16)
+    write_raw_zone(events, lake.raw_zone, lake.zone("check"), trigger=None).awaitTermination()
+    folders = glob.glob(f"{lake.raw_zone}/date=*/hour=*/event_type=*")
+    assert [len(glob.glob(f"{f}/*.parquet")) for f in folders] == [1, 1, 1]
+    assert len(ids(spark, lake)) == 900
+
+
 def test_hot_partition_is_shared(spark):
     rows = spark.range(4000).select(
         F.col("id").cast("string").alias("event_id"), F.lit("d").alias("date"), F.lit("h").alias("hour"), F.lit("t").alias("event_type")
