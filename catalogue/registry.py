@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgelake.session import ENGINE_CONF
 from forgelake.settings import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +20,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(f: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+                spark.conf.set(key, ENGINE_CONF[key])
             return portable(f(spark, sf_dir))
 
         run.__doc__ = f.__doc__
