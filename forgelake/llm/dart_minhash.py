@@ -217,9 +217,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     pairs = short.join(other, "bucket").where(F.col("node") < F.col("b"))
     pairs = pairs.where(F.least("n", "m") >= F.greatest("n", "m") * (threshold - 1e-9))
     pairs = stored(pairs.select(F.col("node").alias("a"), "b").distinct(), "pairs")
-    dealt = crowds_of(shared.where(F.col("nodes") > _SHORT).withColumnRenamed("bucket", "list"))
+    # Written, as it is read twice: the nodes of long buckets are joined with them once.
+    dealt = stored(crowds_of(shared.where(F.col("nodes") > _SHORT).withColumnRenamed("bucket", "list")), "dealt")
     tiles = stored(fill_tiles(dealt, _TILE), "tiled-nodes")
-    discarded(shared)
+    discarded(shared, dealt)
 
     # The texts that take part in any comparison, once. Rows of one id may differ in text; they
     # are one document, so any of its texts may tie it to another.

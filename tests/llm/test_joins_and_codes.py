@@ -277,3 +277,20 @@ def test_whole_nodes_are_assigned_by_their_sums():
 
     dual_tree.dual_walk(tree, entries, index, whole, leaf)
     assert told["whole"] > 10 * told["leaf"] and sum(told.values()) == 4096
+
+
+def test_crowds_are_joined_once(spark, monkeypatch):
+    from forgelake.llm import dart_minhash
+
+    plans, fill = [], dart_minhash.fill_tiles
+
+    def noted(dealt, nodes):
+        plans.append(dealt._jdf.queryExecution().optimizedPlan().toString())
+        return fill(dealt, nodes)
+
+    monkeypatch.setattr(dart_minhash, "fill_tiles", noted)
+    base = " ".join(f"w{i}" for i in range(120))
+    docs = spark.createDataFrame([(i, f"{base} x{i}") for i in range(8)], "doc_id bigint, text string")
+    found = {r.doc_id: r.class_id for r in dart_minhash.classes(docs).collect()}
+    assert found == dict.fromkeys(range(8), 0)
+    assert plans and "Join" not in plans[0]
