@@ -1,5 +1,6 @@
 """Session settings that queries rely on."""
 
+import catalogue.all_queries  # noqa: F401
 from catalogue.registry import QUERIES
 
 
