@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgelake.llm.components import components
-from forgelake.llm.tables import discarded, free_names, stored
+from forgelake.llm.tables import discarded, free_names, sifted, stored
 from forgelake.llm.tiles import crowds_of, fill_tiles, tile_links
 from forgelake.llm.textblocks import FOLD, U64, mix, raw_texts, shingles_of, slices, words_of
 
@@ -225,8 +225,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     # The texts that take part in any comparison, once. Rows of one id may differ in text; they
     # are one document, so any of its texts may tie it to another.
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(tiles.select("node")).distinct()
+    wanted = stored(wanted, "wanted")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL")
-    texts = stored(texts.join(wanted, "doc_id", "left_semi").distinct(), "candidate-texts")
+    texts = sifted(texts, wanted, "doc_id").join(wanted, "doc_id", "left_semi")
+    texts = stored(texts.distinct(), "candidate-texts")
     in_tiles = texts.join(tiles.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = weighted_sets(in_tiles.select(F.col("doc_id").alias("node"), "text"))
 
@@ -235,7 +237,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     ties = members.join(ties, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
     links = verified(pairs, texts, threshold).union(tile_links(tiles, sets, threshold * 100)).union(ties)
     labels = components(links)
-    discarded(pairs, tiles, texts)
+    discarded(pairs, tiles, wanted, texts)
     named = members.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"))
     return named.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 

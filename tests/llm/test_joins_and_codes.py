@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from forgelake.llm import dual_tree, fim, group_join, tiles
+from forgelake.llm import dart_minhash, dual_tree, fim, group_join, tables, tiles
 from forgelake.llm.tables import free_names
 
 DOCS = "doc_id bigint, text string"
@@ -294,3 +294,30 @@ def test_crowds_are_joined_once(spark, monkeypatch):
     found = {r.doc_id: r.class_id for r in dart_minhash.classes(docs).collect()}
     assert found == dict.fromkeys(range(8), 0)
     assert plans and "Join" not in plans[0]
+
+
+def test_only_texts_that_are_compared_are_shuffled(spark, monkeypatch):
+    """The texts are sifted by a bitmap before the exact join, whatever Spark may broadcast by itself."""
+    ids = list(range(-50, 5000, 7)) + [2**62, -(2**62)]
+    wanted = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    rows = spark.range(-20_000, 20_000).selectExpr("id AS doc_id", "CAST(id AS string) AS chunk", "id AS bits")
+    rows = rows.union(spark.createDataFrame([(2**62, "x", 1), (-(2**62), "y", 1), (None, "z", 1)], "doc_id bigint, chunk string, bits bigint"))
+    found = [r.doc_id for r in tables.sifted(rows, wanted, "doc_id").collect()]
+    assert set(ids) <= set(found) and len(set(found)) == len(found) < len(ids) + 40_000 // 8
+    assert tables.sifted(rows, wanted.limit(0), "doc_id").count() == 0
+
+    plans, read = [], []
+
+    def kept(df, label):
+        if label == "candidate-texts":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            read.append([r.doc_id for r in df.collect()])
+        return tables.stored(df, label)
+
+    monkeypatch.setattr(dart_minhash, "stored", kept)
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(300)]
+    texts += [texts[5] + " end", texts[9] + " end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    classes = {r.doc_id: r.class_id for r in dart_minhash.classes(docs).collect()}
+    assert {d: c for d, c in classes.items() if d != c} == {300: 5, 301: 9}
+    assert sorted(read[0]) == [5, 9, 300, 301] and "bitmap_construct_agg" in plans[0]
