@@ -209,3 +209,38 @@ def test_unresolved_stretches():
     assert chaining.unresolved(at, n, np.array([0]), np.array([90])).tolist() == []
     assert chaining.unresolved(at[:4], n[:4], none, none).tolist() == []
     assert chaining.unresolved(np.concatenate([at[:5], at[5:] + 20]), n, none, none).tolist() in ([8], [8, 9])
+
+
+def test_blocks_that_cannot_grow_are_left_out(spark, monkeypatch):
+    """No block is left out that leads to a passage, and pairs with a phrase in common are not aligned."""
+    rng = np.random.default_rng(8)
+    grown = left = 0
+    for _ in range(600):
+        alike = rng.random() * 1.1
+        a = rng.integers(0, 40, 200).astype(np.uint64) << np.uint64(48)
+        b = np.where(rng.random(200) < alike, a, rng.integers(0, 40, 200).astype(np.uint64) << np.uint64(48))
+        p, n = int(rng.integers(0, 190)), int(rng.integers(5, 10))
+        r = int(rng.integers(0, p + 1)) if alike < 0.5 else p
+        b = b[p - r :].copy()
+        b[r : r + n] = a[p : p + n]
+        around = list(zip(chaining._around(p, n, a), chaining._around(r, n, b)))
+        may = chaining.may_grow(n, *around)
+        passage = bool(chaining.aligned([(p, r, min(n, 200 - p))], a, b))
+        assert may or not passage
+        grown, left = grown + passage, left + (not may)
+    assert grown > 50 and left > 50
+
+    plain, sent = chaining._aligned, []
+
+    def aligned(pairs):
+        sent.append({(r.doc, r.ref) for r in pairs.select("doc", "ref").collect()})
+        return plain(pairs)
+
+    monkeypatch.setattr(chaining, "_aligned", aligned)
+    own = random.Random(3)
+    phrase, passage = words_in(own, 7), words_in(own, 70)
+    texts = [words_in(own, 90) + phrase + words_in(own, 90) for _ in range(8)]
+    texts += [words_in(own, 30) + passage + words_in(own, 30) for _ in range(2)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], LONG)
+    assert [(r.doc_id, r.ref_doc_id, r.n_words) for r in chaining.passages(df).collect()] == [(9, 8, 70)]
+    assert sent == [{(9, 8)}]
