@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forgelake.llm import chaining, langid, pii
+from forgelake.llm.textblocks import words_of
 
 # --- pseudonyms
 
@@ -244,3 +245,42 @@ def test_blocks_that_cannot_grow_are_left_out(spark, monkeypatch):
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], LONG)
     assert [(r.doc_id, r.ref_doc_id, r.n_words) for r in chaining.passages(df).collect()] == [(9, 8, 70)]
     assert sent == [{(9, 8)}]
+
+
+def test_texts_of_sieved_pairs_stay_out_of_python(spark):
+    rng = np.random.default_rng(3)
+    texts = {d: " ".join(f"w{x}" for x in rng.integers(0, 60, 200)) for d in range(6)}
+    texts[5] = " ".join(texts[0].split()[:120] + ["odd"] * 60)
+    words = {d: words_of([t.encode()]).hashes for d, t in texts.items()}
+    places = [(0, 0, 5), (4, 150, 5), (100, 64, 8), (195, 195, 5), (70, 70, 20)]
+    lone = [(d, r, [list(p)]) for d in range(1, 6) for r in range(d) for p in [places[(d + r) % 5]]]
+    several = [(9, 8, [[0, 0, 5], [9, 9, 5]]), (9, 7, [[0, 0, 5, 7, 7, 5]])]
+    chains = spark.createDataFrame(lone + several, "doc bigint, ref bigint, blocks array<array<int>>")
+    own = spark.createDataFrame([*texts.items()], "doc bigint, text string")
+    found = chaining._sieved(chains, own)
+
+    def may(d, r, p, q, n):
+        return chaining.may_grow(n, *zip(chaining._around(p, n, words[d]), chaining._around(q, n, words[r])))
+
+    want = [x for x in lone if may(x[0], x[1], *x[2][0])]
+    assert 0 < len(want) < len(lone)
+    assert sorted((r.doc, r.ref, r.blocks) for r in found.collect()) == sorted(want + several)
+    # Batches of texts, one for every pair, filled the executors' memory.
+    lines = [line for line in found._jdf.queryExecution().analyzed().toString().splitlines() if "MapInArrow kept(" in line]
+    assert lines and not any("text#" in line.partition("kept(")[2].partition(")#")[0] for line in lines)
+
+
+def test_places_of_a_seed_that_recurs_are_listed_not_paired(spark):
+    # A stretch of seeds that all occur elsewhere; the rarest, 7, recurs in it.
+    rows = [(1, int(at), 7 if k % 2 else 8, 3 if k % 2 else 9) for k, at in enumerate(range(0, 80, 4))]
+    shared = spark.createDataFrame(rows, "doc bigint, at int, seed bigint, n bigint")
+    none = spark.createDataFrame([], "doc bigint, ref bigint, blocks array<array<int>>")
+    found = chaining._asked(shared, none).collect()
+    assert [(r.doc, r.seed) for r in found] == [(1, 7)] and len(found[0].ats) > 3
+
+    ats, places = found[0].ats, [3, 9, 30, 57, 90]
+    listed = [(2, 1, [5], [5]), (1, 0, ats, places), (1, 0, [100], [100]), (3, 1, [5, 6], [5, 6])]
+    single = [(d, r, [a], [p]) for d, r, x, y in listed for a in x for p in y]
+    kind = "doc bigint, ref bigint, ats array<int>, places array<int>"
+    chains = [sorted(map(str, chaining._chained(spark.createDataFrame(x, kind)).collect())) for x in (listed, single)]
+    assert chains[0] == chains[1] and len(chains[0]) == 3
