@@ -6,11 +6,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from forgelake.llm import chaining, langid, pii
-from forgelake.llm.textblocks import words_of
+from forgelake.llm.textblocks import rolling_hashes, words_of
 
 # --- pseudonyms
 
@@ -307,3 +308,82 @@ def test_chains_are_sifted_without_loss():
         assert may or not found
         passages, left, barren = passages + bool(found), left + (not may), barren + (not found)
     assert passages > 100 and left > 100 and barren > left
+
+
+def test_blocks_of_a_chain_meet_over_equal_words(monkeypatch):
+    """Two like texts are one block: between their kept seeds nothing is sought."""
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 1 << 60, 900).astype(np.uint64)
+    b = a.copy()
+    b[450] = 7
+    at = chaining.winnowed(rolling_hashes(a, chaining.SEED))
+    at = at[(at + chaining.SEED <= 450) | (at > 450)]
+    (chain,) = chaining.chains_of(chaining.blocks_of(at, at))
+    first, end = chain[0][0], chain[-1][0] + chain[-1][2]
+    assert len(chain) > 20 and chaining.met(chain, a, b) == [(first, first, 450 - first), (451, 451, end - 451)]
+    shifted = [(0, 0, 5), (8, 12, 5)]
+    assert chaining.met(shifted, a[:20], np.concatenate([a[:6], b[100:105], a[7:20]])) == [(0, 0, 6), (7, 11, 6)]
+
+    plain, sought = chaining._dense, []
+    monkeypatch.setattr(chaining, "_dense", lambda x, *rest: sought.append(len(x)) or plain(x, *rest))
+    assert [x[:4] for x in chaining.aligned(chain, a, b)] == [(0, 900, 0, 900)]
+    assert len(sought) < 10
+
+
+def test_many_pairs_at_once_as_one_by_one():
+    """Blocks, seeds of a gap and blocks that may grow, worked out for many at once, equal the plain ones."""
+    rng = np.random.default_rng(11)
+    pair = np.sort(rng.integers(0, 40, 900))
+    at, ref = rng.integers(0, 60, 900), rng.integers(0, 60, 900)
+    owner, blocks = chaining._blocks_of_pairs(pair, at, ref)
+    for k in range(40):
+        mine = pair == k
+        assert list(map(tuple, blocks[owner == k].tolist())) == chaining.blocks_of(at[mine], ref[mine])
+
+    def told(words):
+        last = {}
+        for at in range(len(words) - chaining.SHORT + 1):
+            run = tuple(words[at : at + chaining.SHORT].tolist())
+            before, number = last.get(run, (-chaining.LEAST, -1))
+            last[run] = at, number + 1 if at - before < chaining.LEAST else 0
+            yield run, last[run][1]
+
+    def plain(a, b):
+        x, y = list(told(a)), list(told(b))
+        found = [(i, j) for i in range(len(x)) for j in range(len(y)) if x[i] == y[j]]
+        return chaining.blocks_of(*map(np.array, zip(*found)), chaining.SHORT) if found else []
+
+    for k in range(300):
+        words = [3, 20, 1000][k % 3]
+        a = rng.integers(0, words, int(rng.integers(3, 90))).astype(np.uint64)
+        b = np.where(rng.random(len(a)) < 0.8, a, rng.integers(0, words, len(a)).astype(np.uint64))[int(rng.integers(0, 3)) :]
+        assert chaining._dense(a, b, 0, 0) == plain(a, b)
+
+    rows = []
+    for k in range(600):
+        sides = []
+        for _ in range(2):
+            size = [int(x) for x in rng.choice([0, 1, 3, 40, 64], 2)]
+            a, b = (rng.integers(0, [6, 5000][k % 2], x).astype("<u2") for x in size)
+            like = rng.random(min(size)) < 0.95
+            b[: min(size)][like] = a[: min(size)][like]
+            sides.append((a, b))
+        rows.append((int(rng.integers(5, 30)), *sides))
+    want = [chaining.may_grow(*row) for row in rows]
+    columns = [[row[k][j][:: -1 if k == 1 else 1].tobytes() for row in rows] for k in (1, 2) for j in (0, 1)]
+    before, ref_before, behind, ref_behind = (pa.array([b""] + x, pa.binary()).slice(1) for x in columns)
+    found = chaining._may_grow(np.array([row[0] for row in rows]), [(before, ref_before, True), (behind, ref_behind, False)])
+    assert found.tolist() == want and 50 < sum(want) < 550
+
+
+def test_seeds_of_texts_taken_together(spark):
+    """The seeds of a document do not depend on those beside it."""
+    own = random.Random(9)
+    texts = [" ".join(words_in(own, k)) for k in (49, 50, 200, 0, 51, 300)] + ["a b c d e " * 40, "a b c d e " * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc bigint, text string").coalesce(1)
+    together = sorted(map(tuple, chaining._seeds(df).collect()))
+    alone = [tuple(r) for d in range(len(texts)) for r in chaining._seeds(df.where(f"doc = {d}")).collect()]
+    assert together == sorted(alone) and {r[0] for r in together} == {1, 2, 4, 5, 6, 7}
+    hashes = rolling_hashes(words_of([texts[5].encode()]).hashes, chaining.SEED)
+    plain = [min(range(i, i + chaining.WINDOW), key=lambda k: (hashes[k], k)) for i in range(len(hashes) - chaining.WINDOW + 1)]
+    assert sorted(r[2] for r in together if r[0] == 5) == sorted(set(plain)) == chaining.winnowed(hashes, step=50).tolist()
