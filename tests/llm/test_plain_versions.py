@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forgelake.llm import chaining, langid, pii
+from forgelake.llm.tables import stored
 from forgelake.llm.textblocks import rolling_hashes, words_of
 
 # --- pseudonyms
@@ -387,3 +389,90 @@ def test_seeds_of_texts_taken_together(spark):
     hashes = rolling_hashes(words_of([texts[5].encode()]).hashes, chaining.SEED)
     plain = [min(range(i, i + chaining.WINDOW), key=lambda k: (hashes[k], k)) for i in range(len(hashes) - chaining.WINDOW + 1)]
     assert sorted(r[2] for r in together if r[0] == 5) == sorted(set(plain)) == chaining.winnowed(hashes, step=50).tolist()
+
+
+def test_links_over_all_tasks_equal_plain_ones(spark):
+    """Each document of a shared seed: its places, the seed's count, its first place and the last one before."""
+    own = random.Random(6)
+    rows = sorted({(own.choice([1, 1, 1, 1, 2, 3, 4]), own.random() < 0.2, own.randrange(60), own.randrange(9)) for _ in range(500)} | {(9, False, 5, 1), (9, False, 5, 3)})
+    rows = [(s, p, d, a) for s, p, d, a in rows if not p or any(x[:3] == (s, False, d) for x in rows)]
+    want = []
+    for s, p, d in sorted({r[:3] for r in rows}):
+        mine, told = [r for r in rows if r[0] == s], [r for r in rows if r[:2] == (s, False)]
+        if len({r[2] for r in mine}) > 1:
+            first = told[0][2:] if not p and told[0][2] < d else (None, None)
+            before = max([r[2:] for r in told if r[2] < d and not p], default=None)
+            before = (None, None) if before in (None, first) else before
+            want.append((s, d, [r[3] for r in mine if r[1:3] == (p, d)], p, len(mine), *first, *before))
+    frame = spark.createDataFrame(rows, "seed bigint, plain boolean, doc bigint, at int").repartition(5)
+    found = chaining._linked(frame)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    tasks = {f for (f,) in spark.read.parquet(*found.inputFiles()).where("edge = 1 AND seed = 1").select("_metadata.file_name").distinct().collect()}
+    assert len(tasks) > 1  # the frequent seed is not in one task
+
+
+def test_chains_go_on_from_their_blocks(spark):
+    """Chains found from those of fewer matches are the chains of all matches."""
+    rng = np.random.default_rng(5)
+    kind = "doc bigint, ref bigint, ats array<int>, places array<int>"
+    some, more = ([(int(d), int(r), [int(a)], [int(a) + int(x)]) for d, r, a, x in zip(*(rng.integers(0, k, n) for k in (3, 2, 300, 4)))] for n in (700, 90))
+    more = [m for m in more if m[:2] != (0, 0)]
+    some, more = (spark.createDataFrame(x, kind) for x in (some, more))
+    had = chaining._chained(some).selectExpr("doc", "ref", "CAST(NULL AS array<int>) ats", "CAST(NULL AS array<int>) places", "blocks")
+    again = chaining._chained(had.union(more.selectExpr("*", "CAST(NULL AS array<array<int>>) blocks")))
+    want = sorted(map(str, chaining._chained(some.union(more)).collect()))
+    assert sorted(map(str, again.collect())) == want and len(want) == 6
+
+
+class Given:
+    """Stands for a frame whose function is called without Spark."""
+
+    def mapInArrow(self, run, kind):
+        return run
+
+
+def test_pairs_are_aligned_together(monkeypatch):
+    """Pairs aligned at once give what each gives alone; the work is not begun anew for every chain."""
+    own = random.Random(15)
+    rows = []
+    for k in range(120):
+        a = words_in(own, own.randrange(60, 260))
+        b = [w if own.random() > [0, 0.05, 0.1, 0.18][k % 4] else "other" for w in a][own.randrange(9) : own.randrange(70, 300)]
+        b = words_in(own, own.randrange(50)) + b + words_in(own, own.randrange(50))
+        if k % 5 == 0:
+            a, b = a + words_in(own, 90) + a[:70], b + words_in(own, 20) + a[-60:]
+        one, other = ("é " * (k % 3) + " ".join(x) for x in (a, b))
+        x, y = (words_of([t.encode()]).hashes for t in (one, other))
+        found = [(i, j) for i in range(0, len(x) - 4, 3) for j in range(len(y) - 4) if (x[i : i + 5] == y[j : j + 5]).all()]
+        if found:
+            chains = chaining.chains_of(chaining.blocks_of(*map(np.array, zip(*found))))
+            rows.append((k, 1000 + k, [[v for block in c for v in block] for c in chains], one, other))
+    kind = pa.schema([*chaining._CHAINS, ("text", pa.string()), ("ref_text", pa.string())])
+    batch = pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
+    run = chaining._aligned(Given())
+    alone = [r for i in range(len(rows)) for out in run(iter([batch.slice(i, 1)])) for r in out.to_pylist()]
+    plain, called = chaining.short_runs, []
+    monkeypatch.setattr(chaining, "short_runs", lambda words: called.append(len(words)) or plain(words))
+    together = [r for out in run(iter([batch])) for r in out.to_pylist()]
+    assert together == alone and len(together) > 80 and len(called) <= 4
+    texts = {k: (one, other) for k, _, _, one, other in rows}
+    for r in together:
+        one, other = (words_of([t.encode()]).hashes for t in (texts[r["doc_id"]][0][r["start"] : r["end"]], texts[r["doc_id"]][1][r["ref_start"] : r["ref_end"]]))
+        assert len(one) == r["n_words"] >= chaining.LEAST and set(one[[0, -1]]) <= set(other) and r["identity"] >= chaining.IDENTITY
+
+
+def test_stored_tables_leave_no_shuffled_rows(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {b for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+
+    before = shuffled()
+    frame = spark.range(1000).repartition(3, "id")
+    kept = stored(frame, "left")
+    for _ in range(100):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert kept.count() == frame.count() == 1000  # computed again
